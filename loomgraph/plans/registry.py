@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from loomgraph.plans import document_queries, graph_queries, serving_queries
+
+QUERIES = document_queries.QUERIES | graph_queries.QUERIES | serving_queries.QUERIES
+ORACLE_SQL = document_queries.ORACLE_SQL | graph_queries.ORACLE_SQL | serving_queries.ORACLE_SQL
