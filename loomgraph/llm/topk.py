@@ -52,8 +52,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k] if scores.dtype != object else np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], int)
 
 
-def _clamped(scores) -> list[int]:
-    return [max(-(1 << 63), min((1 << 63) - 1, int(s))) for s in scores]
+def _whole(scores) -> list[int]:
+    """As Python's integers (clamped already where they could be too large)."""
+    return [int(s) for s in scores]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, groups: int = 8, query_block: int = 1024, vector_block: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -98,20 +99,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                     for row, best in zip(found, near.tolist(), strict=True):
                         row.update(best)
                 full = full + local
+            if full.dtype == object:
+                full = np.clip(full, NONE, (1 << 63) - 1)
             for row, query in enumerate(part.query_id.to_numpy()):
                 entries = np.flatnonzero(found[row]) if cutoff else np.fromiter(found[row], int)
                 entries = entries[ids[entries] != query]
                 yield query, ids[entries], full[row, entries]
 
     def local_lists(key, queries_: pd.DataFrame, vectors_: pd.DataFrame) -> pd.DataFrame:
-        rows = [(query, s) for query, ids, scores in lists(queries_, vectors_, False) for s in _clamped(scores[_best(scores, ids, k)])]
+        rows = [(query, s) for query, ids, scores in lists(queries_, vectors_, False) for s in _whole(scores[_best(scores, ids, k)])]
         return pd.DataFrame(rows, columns=["query_id", "score"]).astype("int64")
 
     def resolved(key, queries_: pd.DataFrame, vectors_: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for query, ids, scores in lists(queries_, vectors_, True):
             best = _best(scores, ids, k)
-            rows += zip([query] * len(best), ids[best].tolist(), _clamped(scores[best]), strict=True)
+            rows += zip([query] * len(best), ids[best].tolist(), _whole(scores[best]), strict=True)
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     def meet(asking: DataFrame, fn, schema: str) -> DataFrame:

@@ -33,7 +33,7 @@ def made(seed, n_docs=60, n_items=12):
     vocabulary = ["A", "b", "c'", "é", "ÉA", "x1", " q", "d"]
     text = lambda n: rng.choice([" ", ", ", "\n"]).join(rng.choice(vocabulary) for _ in range(n))
     items = [(k, text(rng.randint(0, 14))) for k in range(n_items)] + [(99, None), (3, text(9))]
-    docs = [(k, text(rng.randint(0, 60)) + " " + rng.choice(items)[1] * 1 if rng.random() < 0.5 and (items[0][1] or True) and all(i[1] is not None for i in items[:1]) and False else text(rng.randint(0, 60))) for k in range(n_docs)]
+    docs = [(k, text(rng.randint(0, 60))) for k in range(n_docs)]
     docs += [(200 + k, f"{text(5)} {t} {text(5)}") for k, (_, t) in enumerate(items) if t]
     return docs + [(500, None), (501, ""), (501, ""), (None, items[0][1])], items
 
