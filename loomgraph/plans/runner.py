@@ -48,9 +48,11 @@ def expect_dimension(df: DataFrame, col: str, size: int) -> None:
 
 def parse_limit(value: str | int | None, default: int | None, full: bool = False) -> int | None:
     """None is unlimited; full lifts every limit."""
-    if full or str(value).lower() in ("all", "none", "0"):
+    if full:
         return None
-    return default if value is None else int(value)
+    if value is None:
+        return default
+    return None if str(value).lower() in ("all", "none", "0") else int(value)
 
 
 @dataclass
