@@ -80,7 +80,7 @@ def _group(group: str | None) -> list[str]:
     return [group] if group else []
 
 
-def pagerank(edges: DataFrame, iterations: int = 20, alpha: float = 0.85, weighted: bool = True, dangling: bool = True, normalise: bool = True, group: str | None = None) -> DataFrame:
+def pagerank(edges: DataFrame, iterations: int = 20, alpha: float = 0.85, weighted: bool = True, dangling: bool = True, normalise: bool = True, group: str | None = None, every: int = 4) -> DataFrame:
     """id, rank after a fixed number of rounds; with group, all groups at once.
 
     weighted: parallel edges count by their number. dangling: rank of nodes without out-edges is
@@ -94,8 +94,9 @@ def pagerank(edges: DataFrame, iterations: int = 20, alpha: float = 0.85, weight
     nodes = cut(nodes.join(links.select(*g, F.col("src").alias("id"), F.lit(1).alias("has")).distinct(), [*g, "id"], "left").select(*g, "id", F.col("has").isNull().alias("sink")))
     base = nodes.join(nodes.groupBy(*g).agg(F.count("*").cast("double").alias("n")), g) if g else nodes.withColumn("n", F.lit(float(nodes.count())))
     base = cut(base)
-    ranks = cut(base.select(*g, "id", "sink", (1 / F.col("n")).alias("rank")))
-    for _ in range(iterations):
+    ranks = base.select(*g, "id", "sink", (1 / F.col("n")).alias("rank"))
+    dangling = dangling and not base.where("sink").isEmpty()
+    for k in range(1, iterations + 1):
         got = links.join(ranks.select(*g, F.col("id").alias("src"), "rank"), [*g, "src"]).groupBy(*g, F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         df = base.join(got, [*g, "id"], "left")
         if not dangling:
@@ -106,7 +107,9 @@ def pagerank(edges: DataFrame, iterations: int = 20, alpha: float = 0.85, weight
             df = df.withColumn("lost", F.lit(ranks.where("sink").agg(F.sum("rank")).first()[0] or 0.0))
         zero = F.lit(0.0)
         rank = (1 - alpha) / F.col("n") + alpha * (F.coalesce("got", zero) + F.coalesce("lost", zero) / F.col("n"))
-        ranks = cut(df.select(*g, "id", "sink", rank.alias("rank")))
+        ranks = df.select(*g, "id", "sink", rank.alias("rank"))
+        if dangling or k % every == 0 or k == iterations:  # with sinks, a round reads the ranks twice
+            ranks = cut(ranks)
     return ranks.join(base.select(*g, "id", "n"), [*g, "id"]).select(*g, "id", (F.col("rank") if normalise else F.col("rank") * F.col("n")).alias("rank"))
 
 
@@ -213,21 +216,28 @@ def strong_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     return nodes.join(done, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
-def hits(edges: DataFrame, iterations: int = 20) -> DataFrame:
-    """id, hub, authority (each sums to 1): weighted by parallel edges."""
+def hits(edges: DataFrame, iterations: int = 20, every: int = 4) -> DataFrame:
+    """id, hub, authority (each sums to 1): weighted by parallel edges. Scores are scaled every few rounds, which changes no proportion."""
     links = cut(edges.groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")))
     nodes = cut(vertices(edges))
 
     def pull(scores: DataFrame, come: str, go: str) -> DataFrame:
-        got = links.join(scores.select(F.col("id").alias(come), "x"), come).groupBy(F.col(go).alias("id")).agg(F.sum(F.col("x") * F.col("w")).alias("x"))
-        got = cut(got)
-        total = got.agg(F.sum("x")).first()[0] or 1.0
-        return got.withColumn("x", F.col("x") / F.lit(total))
+        got = links.join(scores.select(F.col("id").alias(come), "x"), come)
+        return got.groupBy(F.col(go).alias("id")).agg(F.sum(F.col("x") * F.col("w")).alias("x"))
+
+    def scaled(scores: DataFrame) -> DataFrame:
+        scores = cut(scores)
+        total = scores.agg(F.sum("x")).first()[0] or 1.0
+        return scores.withColumn("x", F.col("x") / F.lit(total))
 
     hub, authority = nodes.withColumn("x", F.lit(1.0)), None
-    for _ in range(iterations):
+    for k in range(1, iterations + 1):
         authority = pull(hub, "src", "dst")
+        if k == iterations:
+            authority = scaled(authority)
         hub = pull(authority, "dst", "src")
+        if k % every == 0 or k == iterations:
+            hub = scaled(hub)
     zero = F.lit(0.0)
     out = nodes.join(hub.withColumnRenamed("x", "hub"), "id", "left").join(authority.withColumnRenamed("x", "authority"), "id", "left")
     return out.select("id", F.coalesce("hub", zero).alias("hub"), F.coalesce("authority", zero).alias("authority"))
