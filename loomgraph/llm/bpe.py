@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import base64
 import re
-from heapq import heapify, heappop, heappush
+import sys
+from array import array
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -41,44 +43,46 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.bytes_of = dict(zip(ranks.values(), ranks.keys(), strict=True))
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}
+        #: The rank of each pair of bytes, -1 without one.
+        self.first = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
 
     def pair_rank(self, a: int, b: int) -> int:
         """The rank of the joined bytes, or -1."""
-        r = self.pairs.get((a, b))
+        key = a << 32 | b
+        r = self.pairs.get(key)
         if r is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 300_000:
                 self.pairs.clear()
-            r = self.pairs[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+            r = self.pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return r
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        rank = self.pair_rank
-        sym: list[int] = []
-        word: list[int] = []
-        bounds = [0]
-        for k, w in enumerate(words):
-            whole = self.ranks.get(w)
-            if whole is not None:  # a word that is a token is encoded as that token
-                sym.append(whole)
-                word.append(k)
-            else:
-                sym.extend(map(self.single.__getitem__, w))
-                word.extend([k] * len(w))
-            bounds.append(len(sym))
-        n = len(sym)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if a < b:
-                before[a] = after[b - 1] = -1
-        index: dict[int, list[int]] = {}
-        for i in range(n):
-            if after[i] >= 0 and (r := rank(sym[i], sym[i + 1])) >= 0:
-                index.setdefault(r, []).append(i)
-        heap = list(index)
-        heapify(heap)
+        """A word that is a token is encoded as that token, others by merges."""
+        out: list[list[int]] = [[r] if (r := self.ranks.get(w)) is not None else [] for w in words]
+        rest = [k for k, ids in enumerate(out) if not ids and words[k]]
+        for k, ids in zip(rest, self._replay([words[k] for k in rest]), strict=True):
+            out[k] = ids
+        return out
+
+    def _replay(self, words: list[bytes]) -> list[list[int]]:
+        if not words:
+            return []
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        n, lengths = len(flat), np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(lengths)
+        index, heap = self._index(flat, ends)
+        sym = self.single[flat].tolist()
+        word = np.repeat(np.arange(len(words)), lengths).tolist()
+        links = np.arange(1, n + 1)
+        links[ends - 1] = -1
+        after = links.tolist()
+        links = np.arange(-1, n - 1)
+        links[ends - lengths] = -1
+        before = links.tolist()
+        known, rank, enter = self.pairs.get, self.pair_rank, self._enter
         while heap:
             r = heappop(heap)
             positions = index.pop(r, None)
@@ -87,27 +91,56 @@ class MergeReplay:
             positions.sort()
             held = -1  # in this word a pair of a lower rank has appeared, which goes first
             for i in positions:
+                j = after[i]
+                if j < 0 or sym[i] < 0:
+                    continue
                 if word[i] == held:
-                    self._enter(index, heap, r, i)
+                    enter(index, heap, r, i)
                     continue
-                j = after[i]
-                if j < 0 or sym[i] < 0 or rank(sym[i], sym[j]) != r:
+                a, b = sym[i], sym[j]
+                if (q := known(a << 32 | b)) != r and (q is not None or rank(a, b) != r):
                     continue
-                sym[i], sym[j], k = r, -1, after[j]
+                sym[i], sym[j], k, p = r, -1, after[j], before[i]
                 after[i] = k
                 after[j] = -1
                 if k >= 0:
                     before[k] = i
-                    if (q := rank(r, sym[k])) >= 0:
-                        self._enter(index, heap, q, i)
+                    b = sym[k]
+                    q = known(r << 32 | b)
+                    if q is None:
+                        q = rank(r, b)
+                    if q >= 0:
+                        enter(index, heap, q, i)
+                        if q < r:
+                            held = word[i]
+                if p >= 0:
+                    a = sym[p]
+                    q = known(a << 32 | r)
+                    if q is None:
+                        q = rank(a, r)
+                    if q >= 0:
+                        enter(index, heap, q, p)
                         if q < r:
                             held = word[i]
-                p = before[i]
-                if p >= 0 and (q := rank(sym[p], r)) >= 0:
-                    self._enter(index, heap, q, p)
-                    if q < r:
-                        held = word[i]
-        return [[s for s in sym[a:b] if s >= 0] for a, b in zip(bounds, bounds[1:], strict=False)]
+        left = np.array(sym, np.int64)
+        alive = np.flatnonzero(left >= 0)
+        cuts = np.searchsorted(alive, ends).tolist()
+        ids = left[alive].tolist()
+        return [ids[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
+
+    def _index(self, flat: np.ndarray, ends: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
+        """The inverted index of the words' bytes: rank of a pair to its positions; and the heap of ranks."""
+        ranks = self.first[flat[:-1], flat[1:]]
+        ranks[ends[:-1] - 1] = -1
+        at = np.flatnonzero(ranks >= 0)
+        if not len(at):
+            return {}, []
+        at = at[np.argsort(ranks[at], kind="stable")]
+        sorted_ranks = ranks[at]
+        starts = np.flatnonzero(np.r_[True, np.diff(sorted_ranks) != 0])
+        heap = sorted_ranks[starts].tolist()
+        bounds, where = [*starts.tolist(), len(at)], at.tolist()
+        return {r: where[x:y] for r, x, y in zip(heap, bounds, bounds[1:], strict=False)}, heap
 
     @staticmethod
     def _enter(index, heap, r: int, i: int) -> None:
@@ -118,37 +151,57 @@ class MergeReplay:
             heappush(heap, r)
 
 
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+class Generations:
+    """A bounded cache: what a generation does not use before the next one is full is forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys) -> list:
+        """Keys without a value; values of all others are in young until the next call."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old, new = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                v = old.get(k)
+                if v is None:
+                    new.append(k)
+                else:
+                    young[k] = v
+        return new
+
+
 class Encoder:
     """Whole texts to ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 250_000):
-        self.replay, self.pattern, self.limit = MergeReplay(ranks), regex.compile(pattern), limit
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 160_000):
+        self.replay, self.pattern = MergeReplay(ranks), regex.compile(pattern)
+        self.pieces, self.words = Generations(limit), Generations(limit)
 
     def split(self, text: str) -> list[str]:
         """Pieces at whose borders a token surely starts."""
         first, *rest = text.split(" ") if not _UNSURE.search(text) else _CUT.split(text)
         return [first, *[" " + x for x in rest]]
 
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.pieces]
-        if len(self.pieces) + len(new) > self.limit:
-            self.pieces.clear()
-            new = list(pieces)
-        if len(self.words) > self.limit:
-            self.words.clear()
-        found = [self.pattern.findall(p) for p in new]
-        unknown = list({w for ws in found for w in ws if w not in self.words})
-        for w, ids in zip(unknown, self.replay.encode([w.encode("utf-8") for w in unknown]), strict=True):
-            self.words[w] = np.asarray(ids, "<u4").tobytes()
-        for p, ws in zip(new, found, strict=True):
-            self.pieces[p] = b"".join(map(self.words.__getitem__, ws))
-
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
-        self.learn({p for ps in pieces for p in ps})
-        return [b"".join(map(self.pieces.__getitem__, ps)) for ps in pieces]
+        new = self.pieces.missing({p for ps in pieces for p in ps})
+        found = list(map(self.pattern.findall, new))
+        unknown = self.words.missing({w for ws in found for w in ws})
+        words, known = self.words.young, self.pieces.young
+        for w, ids in zip(unknown, self.replay.encode([w.encode("utf-8") for w in unknown]), strict=True):
+            words[w] = _packed(ids)
+        for p, ws in zip(new, found, strict=True):
+            known[p] = words[ws[0]] if len(ws) == 1 else b"".join(map(words.__getitem__, ws))
+        return [b"".join(map(known.__getitem__, ps)) for ps in pieces]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -169,7 +222,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         enc = encoder(ranks_path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in steps([len(t) for t in texts]):
+            for part in steps([len(t) for t in texts], 4 << 20):
                 ids = enc.encode(texts[part.start : part.stop])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.start, len(part)), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
