@@ -54,7 +54,7 @@ class MergeReplay:
         key = a << 32 | b
         r = self.pairs.get(key)
         if r is None:
-            if len(self.pairs) > 300_000:
+            if len(self.pairs) > 150_000:
                 self.pairs.clear()
             r = self.pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return r
@@ -168,6 +168,10 @@ class Generations:
         """Keys without a value; values of all others are in young until the next call."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
+        return self.absent(keys)
+
+    def absent(self, keys) -> list:
+        """The same within a generation."""
         young, old, new = self.young, self.old, []
         for k in keys:
             if k not in young:
@@ -182,9 +186,9 @@ class Generations:
 class Encoder:
     """Whole texts to ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 160_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 100_000):
         self.replay, self.pattern = MergeReplay(ranks), regex.compile(pattern)
-        self.pieces, self.words = Generations(limit), Generations(limit)
+        self.cache = Generations(limit)  # of pieces; a word is a piece of one match
 
     def split(self, text: str) -> list[str]:
         """Pieces at whose borders a token surely starts."""
@@ -193,14 +197,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
-        new = self.pieces.missing({p for ps in pieces for p in ps})
+        new = self.cache.missing({p for ps in pieces for p in ps})
+        known = self.cache.young
         found = list(map(self.pattern.findall, new))
-        unknown = self.words.missing({w for ws in found for w in ws})
-        words, known = self.words.young, self.pieces.young
+        unknown = self.cache.absent({w for ws in found for w in ws})
         for w, ids in zip(unknown, self.replay.encode([w.encode("utf-8") for w in unknown]), strict=True):
-            words[w] = _packed(ids)
+            known[w] = _packed(ids)
         for p, ws in zip(new, found, strict=True):
-            known[p] = words[ws[0]] if len(ws) == 1 else b"".join(map(words.__getitem__, ws))
+            if len(ws) != 1:
+                known[p] = b"".join(map(known.__getitem__, ws))
         return [b"".join(map(known.__getitem__, ps)) for ps in pieces]
 
 
@@ -222,7 +227,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         enc = encoder(ranks_path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in steps([len(t) for t in texts], 4 << 20):
+            for part in steps([len(t) for t in texts], 3 << 19):
                 ids = enc.encode(texts[part.start : part.stop])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.start, len(part)), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
