@@ -180,19 +180,10 @@ def score_toxicity(docs: DataFrame, chain: ClassifierChain, threshold: float = 0
     def run(batches):
         model = shared.value
         used = set(np.concatenate([k.words for k in model.links if k] or [np.zeros(0, np.uint32)]).tolist())
-        cache: dict[bytes, int] = {}  # hash of a word that some link uses, else -1
         for batch in batches:
             texts = utf8(batch.column(text_at))
             for part in steps([len(t or b"") for t in texts]):
-                found = []
-                for k in part:
-                    words = features_of(texts[k])
-                    if len(cache) > 500_000:
-                        cache.clear()
-                    for w in words:
-                        if w not in cache:
-                            cache[w] = h if (h := zlib.crc32(w)) in used else -1
-                    found.append(np.array(sorted({cache[w] for w in words} - {-1}), np.uint32))
+                found = [np.array(sorted(used.intersection(map(zlib.crc32, features_of(texts[k])))), np.uint32) for k in part]
                 p = model.predict(found)
                 toxic = p[:, -1] >= threshold
                 own = batch.slice(part.start, len(part))
