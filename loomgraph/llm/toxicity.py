@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain of linear models.
 
 The categories are predicted in order; each is a logistic regression over the presence of
-words in the whole text and over the probabilities of the categories before it. While
+words and repeated stems in the whole text and over the probabilities of the categories before it. While
 training, those earlier probabilities are out-of-fold predictions, so that a later model
 sees them as noisy as they are on new documents.
 
@@ -20,6 +20,7 @@ each; empty tables give empty tables.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,33 @@ INSULT = "idiot moron loser clown scum trash imbecile jerk fool creep pig idiota
 DEMEANING = "stupid worthless pathetic disgusting useless ugly dumb vile filthy despicable estúpido wertlos dumm nul".split()
 
 CHAIN = ("insult", "demeaning", "toxic")
+#: Lengths of stems.
+STEMS = (5, 6, 7)
 
 
 def features_of(text: bytes | None) -> set[bytes]:
-    """The distinct words of the whole text (letters, A-Z lower-cased)."""
-    return set(text.translate(_WORDS).split()) if text else set()
+    """The distinct words of the whole text (letters, A-Z lower-cased), and its repeated stems.
+
+    A stem is the first 5, 6 or 7 characters of a longer word; one that stands in the text at least
+    k times (k = 2, 3) is the feature "k*stem". Forms of one word thus count together.
+    """
+    if not text:
+        return set()
+    counts = Counter(text.translate(_WORDS).split())
+    stems: Counter[str] = Counter()
+    for word, n in counts.items():
+        if len(word) > STEMS[0]:
+            chars = word.decode("utf-8", "replace")
+            for k in STEMS:
+                if len(chars) > k:
+                    stems[chars[:k]] += n
+    out = set(counts)
+    for stem, n in stems.items():
+        if n > 1:
+            out.add(b"2*" + stem.encode())
+            if n > 2:
+                out.add(b"3*" + stem.encode())
+    return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 12) -> np.ndarray:
