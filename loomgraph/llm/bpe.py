@@ -3,7 +3,9 @@
 All new words of a step are laid end to end. An inverted index maps the rank of each
 adjacent token pair (the rank of the joined bytes) to the word positions where it stands. The
 merges are replayed in rank order over all words at once; a merge touches only its two
-neighbours, whose new pairs enter the index. Encoded words are kept in a bounded cache.
+neighbours, whose new pairs enter the index. Words of up to SHORT bytes go through the index
+window by window of ranks in numpy: inside a window each word applies its lowest pair, then
+the next. Longer words go pair by pair. Encoded words are kept in a bounded cache.
 
 Nulls count as empty texts (no ids). Texts of any length are encoded whole; ties of equal
 ranks inside a word go to the leftmost pair. Repeated rows give repeated rows, empty tables
@@ -17,6 +19,7 @@ import re
 import sys
 from array import array
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,12 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNSURE = re.compile(r"\s \s")
 
 
+#: Words of up to so many bytes are replayed in numpy.
+SHORT = 48
+#: The rank of what is no pair.
+NONE = 1 << 62
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a file of lines "base64 rank"."""
     with open(path, "rb") as lines:
@@ -46,6 +55,13 @@ class MergeReplay:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.bytes_of = dict(zip(ranks.values(), ranks.keys(), strict=True))
         self.pairs: dict[int, int] = {}
+        self.token = {w: _packed([r]) for w, r in ranks.items()}
+        found = {a << 32 | b: r for w, r in ranks.items() for k in range(1, len(w)) if (a := ranks.get(w[:k])) is not None and (b := ranks.get(w[k:])) is not None}
+        keys = np.array([*found, NONE], np.int64)  # the last is of no pair
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array([*found.values(), NONE], np.int64)[order]
+        #: Where windows of ranks end: each is an eighth wider than all before it.
+        self.windows = _windows(max(ranks.values()) + 1)
         #: The rank of each pair of bytes, -1 without one.
         self.first = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
 
@@ -60,14 +76,83 @@ class MergeReplay:
         return r
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        """A word that is a token is encoded as that token, others by merges."""
-        out: list[list[int]] = [[r] if (r := self.ranks.get(w)) is not None else [] for w in words]
-        rest = [k for k, ids in enumerate(out) if not ids and words[k]]
-        for k, ids in zip(rest, self._replay([words[k] for k in rest]), strict=True):
-            out[k] = ids
+        """The ids of each word."""
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.encode_packed(words)]
+
+    def encode_packed(self, words: list[bytes]) -> list[bytes]:
+        """Ids as little-endian unsigned 32-bit integers; a word that is a token is that token, others are merged."""
+        out, known = [b""] * len(words), self.token.get
+        short, long = [], []
+        for k, w in enumerate(words):
+            ids = known(w)
+            if ids is not None:
+                out[k] = ids
+            elif w:
+                (short if len(w) <= SHORT else long).append(k)
+        for part, replay in ((short, self._replay), (long, self._replay_long)):
+            for k, ids in zip(part, replay([words[k] for k in part]), strict=True):
+                out[k] = ids
         return out
 
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of token pairs, NONE without one."""
+        key = a << 32 | b
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
+
+    def _replay(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        n, lengths = len(flat), np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(lengths)
+        sym, word = self.single[flat], np.repeat(np.arange(len(words)), lengths)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1] = before[ends - lengths] = -1
+        rank = np.full(n, NONE)  # of the pair that begins at a position
+        rank[:-1] = self.first[flat[:-1], flat[1:]]
+        rank[(rank < 0) | (after < 0)] = NONE
+        index: list[list[np.ndarray]] = [[] for _ in self.windows]
+        self._post(index, rank, np.arange(n))
+        for window, limit in enumerate(self.windows):
+            if not index[window]:
+                continue
+            at = _distinct(index[window])
+            index[window] = []
+            while len(at := at[rank[at] < limit]):
+                # the lowest pair of each word, the leftmost of equals
+                of = word[at]
+                starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                i = np.minimum.reduceat(rank[at] << 32 | at, starts) & 0xFFFFFFFF
+                j, p = after[i], before[i]
+                sym[i], k = rank[i], after[j]
+                sym[j], rank[j], after[i] = -1, NONE, k
+                rank[i] = NONE
+                some = k >= 0
+                left, k = i[some], k[some]
+                before[k] = left
+                rank[left] = self._ranks_of(sym[left], sym[k])
+                some = p >= 0
+                p, right = p[some], i[some]
+                rank[p] = self._ranks_of(sym[p], sym[right])
+                self._post(index, rank, np.concatenate([left, p]), limit)
+                if len(low := p[rank[p] < limit]):
+                    at = _distinct([at, low])
+        return _cut(sym, ends)
+
+    def _post(self, index: list[list[np.ndarray]], rank: np.ndarray, at: np.ndarray, least: int = 0) -> None:
+        """Enters positions whose pairs have ranks from least on into the index."""
+        r = rank[at]
+        keep = (r >= least) & (r < NONE)
+        at = at[keep]
+        window = np.searchsorted(self.windows, r[keep], "right")
+        order = np.argsort(window, kind="stable")
+        at, window = at[order], window[order]
+        bounds = np.flatnonzero(np.r_[True, window[1:] != window[:-1], True]) if len(at) else []
+        for x, y in zip(bounds, bounds[1:], strict=False):
+            index[window[x]].append(at[x:y])
+
+    def _replay_long(self, words: list[bytes]) -> list[bytes]:
         if not words:
             return []
         flat = np.frombuffer(b"".join(words), np.uint8)
@@ -122,11 +207,7 @@ class MergeReplay:
                         enter(index, heap, q, p)
                         if q < r:
                             held = word[i]
-        left = np.array(sym, np.int64)
-        alive = np.flatnonzero(left >= 0)
-        cuts = np.searchsorted(alive, ends).tolist()
-        ids = left[alive].tolist()
-        return [ids[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
+        return _cut(np.array(sym, np.int64), ends)
 
     def _index(self, flat: np.ndarray, ends: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
         """The inverted index of the words' bytes: rank of a pair to its positions; and the heap of ranks."""
@@ -151,6 +232,26 @@ class MergeReplay:
             heappush(heap, r)
 
 
+def _windows(end: int) -> list[int]:
+    out = [256]
+    while out[-1] < end:
+        out.append(out[-1] + max(out[-1] // 8, 64))
+    return out
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    at = np.sort(np.concatenate(parts), kind="stable")
+    return at[np.r_[True, at[1:] != at[:-1]]]
+
+
+def _cut(sym: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The ids of each word, of the symbols that are left."""
+    alive = np.flatnonzero(sym >= 0)
+    cuts = (np.searchsorted(alive, ends) * 4).tolist()
+    ids = sym[alive].astype("<u4").tobytes()
+    return [ids[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
+
+
 def _packed(ids: list[int]) -> bytes:
     out = array("I", ids)
     if sys.byteorder == "big":
@@ -164,23 +265,18 @@ class Generations:
     def __init__(self, limit: int):
         self.limit, self.young, self.old = limit, {}, {}
 
-    def missing(self, keys) -> list:
+    def missing(self, keys: set) -> set:
         """Keys without a value; values of all others are in young until the next call."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         return self.absent(keys)
 
-    def absent(self, keys) -> list:
+    def absent(self, keys: set) -> set:
         """The same within a generation."""
-        young, old, new = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                v = old.get(k)
-                if v is None:
-                    new.append(k)
-                else:
-                    young[k] = v
-        return new
+        away = keys.difference(self.young)
+        kept = away.intersection(self.old)
+        self.young.update(zip(kept, map(self.old.__getitem__, kept), strict=True))
+        return away - kept
 
 
 class Encoder:
@@ -197,13 +293,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
-        new = self.cache.missing({p for ps in pieces for p in ps})
+        new = self.cache.missing(set(chain.from_iterable(pieces)))
         known = self.cache.young
-        found = list(map(self.pattern.findall, new))
-        unknown = self.cache.absent({w for ws in found for w in ws})
-        for w, ids in zip(unknown, self.replay.encode([w.encode("utf-8") for w in unknown]), strict=True):
-            known[w] = _packed(ids)
-        for p, ws in zip(new, found, strict=True):
+        # a space and ASCII letters are one match
+        unknown = {p for p in new if p[:1] == " " and (q := p[1:]).isascii() and q.isalpha()}
+        mixed = list(new - unknown)
+        found = list(map(self.pattern.findall, mixed))
+        unknown = list(unknown | self.cache.absent(set(chain.from_iterable(found)) - unknown))
+        known.update(zip(unknown, self.replay.encode_packed([w.encode("utf-8") for w in unknown]), strict=True))
+        for p, ws in zip(mixed, found, strict=True):
             if len(ws) != 1:
                 known[p] = b"".join(map(known.__getitem__, ws))
         return [b"".join(map(known.__getitem__, ps)) for ps in pieces]
