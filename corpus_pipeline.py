@@ -1,4 +1,4 @@
-"""The corpus pipeline: toxicity, SimHash near-dedup, benchmark decontamination, PII, BPE.
+"""The corpus pipeline: toxicity, near-copy removal, benchmark decontamination, PII, BPE.
 
 Each stage is a function of (spark, docs, sf_dir), works on all rows its predecessor kept and
 gives a DataFrame that is written as Parquet and read again. All but the last return the
@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, decontam, pii, queries, simhash, toxicity
+from loomgraph.llm import bpe, decontam, nearcopies, pii, queries, toxicity
 from loomgraph.session import prepare, shared_dir
 
 
@@ -29,8 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least doc_id stays (of repeated rows one)."""
-    classes = simhash.near_duplicates(docs)
+    """Of each class of near copies (five-word shingles, similarity 0.8 or more) the document with the least doc_id stays (of repeated rows one)."""
+    classes = nearcopies.near_copies(docs)
+    classes = classes.join(classes.groupBy("part").agg(F.min("doc_id").alias("component_id")), "part")
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi")
     rows = kept.dropDuplicates(["doc_id"]) if _repeated(first, kept) else kept

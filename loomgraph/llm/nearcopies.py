@@ -1,0 +1,138 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose, sets confirm.
+
+A document is the set of its shingles of five words (A-Z lower-cased, split at ASCII white
+space; fewer words are one shingle, no words the empty set). Two documents link if their
+sets have a similarity of 4/5 or more; classes are the connected components of the links.
+
+Candidates share one of 20 bands of 5 MinHash values. A pair of similarity s is missed with
+probability (1 - s^5)^20: 0.0004 at 0.8 and less above. 64-bit SimHash fingerprints of such a pair
+differ in 10 bits on average, and at the 14 that would find most of them a ring of segments
+prunes hardly anything. Each candidate is confirmed on the whole sets, so no link is false.
+
+Equal sets are one row before any join. Members of a band are first compared with the least
+of them; then every pair that still lies in different classes, so a large class costs
+a comparison for each member and no pair between classes is skipped.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from loomgraph.llm._common import steps, utf8
+from loomgraph.operators.components import connected_components
+from loomgraph.session import cut, prepare
+
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+WORDS = 5
+#: The least similarity of a link, as a fraction.
+LEAST = (4, 5)
+BANDS, ROWS = 20, 5
+_MIX = np.random.default_rng(20).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+_MIX[0] |= np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finalizer of SplitMix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
+    """The distinct 64-bit hashes of a text's shingles, in order."""
+    found = (text or b"").translate(_LOWER).split()
+    if not found:
+        return np.zeros(0, np.uint64)
+    if len(found) <= words:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(found), 5)], np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    out = h[: len(h) - words + 1].copy()
+    for k in range(1, words):
+        out = _mixed(out) + h[k : len(h) - words + 1 + k]
+    return np.unique(_mixed(out))
+
+
+def _bands(shingles: np.ndarray) -> np.ndarray:
+    """One hash a band, numbered bands apart."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(shingles), 2048):
+        least = np.minimum(least, ((shingles[k : k + 2048] ^ _MIX[1]) * _MIX[0]).min(axis=1))
+    out = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, ROWS).T:
+        out = _mixed(out) + column
+    return _mixed(out)
+
+
+def _key(shingles: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(shingles.tobytes(), 6)
+
+
+def row_hashes(docs: DataFrame) -> list[Column]:
+    """Two hashes over all columns that tell rows apart, nulls included: r1, r2."""
+    every = [*(F.col(c).isNull() for c in docs.columns), *(F.col(c) for c in docs.columns)]
+    return [F.xxhash64(F.lit(k), *every).alias(f"r{k}") for k in (1, 2)]
+
+
+def _mapped(rows: DataFrame, values, kind: str) -> DataFrame:
+    """rows (whose last column is text) with key, n and out = values(set) in place of the text."""
+    head = rows.columns[:-1]
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+
+    def run(batches):
+        for batch in batches:
+            texts = utf8(batch.column(len(head)))
+            for part in steps([len(t or b"") for t in texts]):
+                sets = [shingle_set(texts[k]) for k in part]
+                keys = np.array([_key(s) for s in sets], np.uint64).view(np.int64)
+                out = [values(s).view(np.int64) for s in sets]
+                ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))
+                own = [batch.column(k).slice(part.start, len(part)) for k in range(len(head))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(keys), pa.array(list(map(len, sets)), pa.int32()), lists], [*head, "key", "n", kind])
+
+    return rows.mapInArrow(run, f"{fields}key bigint, n int, {kind} array<bigint>")
+
+
+def _alike(a: str, b: str) -> str:
+    """Sizes that allow a link."""
+    num, den = LEAST
+    return f"least({a}, {b}) * {den} >= greatest({a}, {b}) * {num}"
+
+
+def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of keys whose sets are similar enough: src, dst."""
+    pairs = cut(pairs.select("a", "b").distinct())
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct().join(reps, "key").select("best.r1", "best.r2")
+    texts = docs.select(*row_hashes(docs), F.col("text").cast("string").alias("text")).join(wanted, ["r1", "r2"], "left_semi")
+    sets = cut(_mapped(texts.select("text"), lambda s: s, "shingles").select("key", "n", "shingles").dropDuplicates(["key"]))
+    left, right = (sets.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab")
+    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("s_a", "s_b")))
+    num, den = LEAST
+    return cut(both.where(f"i * {den} >= (n_a + n_b - i) * {num}").select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, r1, r2 (row_hashes), part: one row for each row of docs; part is the number of its class."""
+    prepare(docs.sparkSession)
+    marked = cut(_mapped(docs.select("doc_id", *row_hashes(docs), F.col("text").cast("string").alias("text")), _bands, "bands"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r1", "r2")).alias("best")
+    reps = cut(marked.groupBy("key").agg(best))
+    chosen = reps.select("key", F.col("best.r1").alias("r1"), F.col("best.r2").alias("r2"))
+    banded = marked.where("n > 0").join(chosen, ["key", "r1", "r2"]).dropDuplicates(["key"])
+    band = Window.partitionBy("band")
+    live = banded.select("key", "n", F.explode("bands").alias("band"))
+    live = cut(live.withColumn("least", F.min(F.struct("key", "n")).over(band)).withColumn("c", F.count("*").over(band)).where("c > 1").drop("c"))
+    links = _confirmed(docs, reps, live.where(f"key <> least.key and {_alike('n', 'least.n')}").select(F.col("least.key").alias("a"), F.col("key").alias("b")))
+    known = connected_components(links).withColumnRenamed("node", "key")
+    # Of two classes in a band one is not the band's first: only its members look at the others.
+    rest = live.join(known, "key", "left").select("key", "n", "band", F.coalesce("component", "key").alias("part"))
+    rest = cut(rest.withColumn("first", F.min("part").over(band)).withColumn("last", F.max("part").over(band)).where("first <> last").drop("last"))
+    x, y = rest.where("part <> first").alias("x"), rest.alias("y")
+    more = x.join(y, F.expr(f"x.band = y.band and x.part <> y.part and (y.part = y.first or x.key < y.key) and {_alike('x.n', 'y.n')}"))
+    more = _confirmed(docs, reps, more.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")))
+    parts = connected_components(links.union(more)).withColumnRenamed("node", "key")
+    return marked.select("doc_id", "r1", "r2", "key").join(parts, "key", "left").select("doc_id", "r1", "r2", F.coalesce("component", "key").alias("part"))
