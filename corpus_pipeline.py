@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm import bpe, decontam, nearcopies, pii, queries, toxicity
-from loomgraph.session import prepare, shared_dir
+from loomgraph.session import cut, prepare, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,17 +29,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies (five-word shingles, similarity 0.8 or more) the document with the least doc_id stays (of repeated rows one)."""
-    classes = nearcopies.near_copies(docs)
-    classes = classes.join(classes.groupBy("part").agg(F.min("doc_id").alias("component_id")), "part")
-    first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    rows = kept.dropDuplicates(["doc_id"]) if _repeated(first, kept) else kept
+    """Of each class of near copies (five-word shingles, similarity 0.8 or more) one row stays.
+
+    It is the row of the least doc_id, nulls last, then of the least row hashes.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r1", "r2")
+    first = cut(nearcopies.near_copies(docs).groupBy("part").agg(F.min(order).alias("o")).select("o.r1", "o.r2"))
+    kept = docs.select("*", *nearcopies.row_hashes(docs)).join(first, ["r1", "r2"], "left_semi")
+    rows = kept.dropDuplicates(["r1", "r2"]) if _repeated(first, kept) else kept
     return rows.select(*docs.columns)
 
 
 def _repeated(first: DataFrame, kept: DataFrame) -> bool:
-    return first.count() != kept.select("doc_id").count()
+    return first.count() != kept.select("r1").count()
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,11 @@ def test_many_copies_and_odd_texts(spark):
     assert sorted(kept) == sorted(set(want))
     empty = spark.createDataFrame([], COLUMNS)
     assert corpus_pipeline.drop_near_copies(spark, empty, "").count() == 0
+
+
+def test_null_ids_and_an_id_with_two_texts(spark):
+    """Every class leaves one row, chosen by its row and not by its id."""
+    one, two, three = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(None, one, "en", None, 1), (None, two, None, "en", 1), (None, two, "en", None, 1), (7, three, "en", "s", 1), (7, "other text of its own here", "en", "s", 1), (8, three + " end", "en", "s", 1), (None, three, "en", "s", 1), (7, three, "en", "s", 1)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, COLUMNS), "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, one), (0, two), (7, three), (7, "other text of its own here")])
