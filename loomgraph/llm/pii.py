@@ -10,7 +10,7 @@ precision there at `precision` or more. Of overlapping candidates the best stays
 overlap a base span.
 
 No table labels personal data, so the trees are trained on candidates from generated
-sentences (fixed seed, fixed number). Positions are code points. Null texts count as
+sentences (fixed seed, fixed number), some with more than one candidate. Positions are code points. Null texts count as
 empty; texts are searched whole, each pattern in time linear in the text. Repeated rows are
 searched each.
 """
@@ -90,13 +90,19 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[0], KINDS.index(span[2]), span[1]
 
 
+_AT = re.compile(r"(?i:\bat\b|\(at\)|\[at\])")
+_BEFORE_AT = re.compile(r"(?<![\w.])[\w.+-]{1,64} ?\Z")
+_DOT_LABEL = r" ?(?i:\(dot\)|\[dot\]|\bdot\b|\.) ?[A-Za-z0-9-]{2,63}"
+#: Hosts of two to five labels: each length is a proposal.
+_HOSTS = tuple(re.compile(rf" ?[A-Za-z0-9-]{{1,63}}(?:{_DOT_LABEL}){{{n}}}") for n in range(1, 5))
+_MORE_HOST = re.compile(_DOT_LABEL)
+_IBAN_HEAD = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"
+# The longest match of each kind at a start, then what else may end there.
 _GENERATORS = (
-    ("hidden_email", re.compile(r"(?<![\w.])[\w.+-]{1,64} ?(?:\(at\)|\[at\]|\bat\b) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\bdot\b|\.) ?[A-Za-z0-9-]{2,63}){1,4}")),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
-    ("identity", re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])")),
-    ("local_phone", re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[ ./-][0-9]{3,4}[ ./-][0-9]{3,4}(?![0-9])")),
+    ("iban", re.compile(_IBAN_HEAD + r"(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), tuple(re.compile(rf"{_IBAN_HEAD}(?: ?[A-Z0-9]{{4}}){{{n}}}{tail}(?![A-Za-z0-9])") for n in range(2, 8) for tail in ("", " ?[A-Z0-9]{1,3}"))),
+    ("identity", re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])"), ()),
+    ("local_phone", re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[ ./-][0-9]{3,4}[ ./-][0-9]{3,4}(?![0-9])"), ()),
 )
-_AT = re.compile(r"\bat\b|\(at\)|\[at\]")
 
 # Words that stand before such data.
 CONTEXT = {
@@ -108,20 +114,23 @@ CONTEXT = {
 
 
 def candidates(text: str) -> list[Span]:
-    """All proposals of all generators; they may overlap."""
+    """All proposals of all generators, at every mark and start; they may overlap."""
     out: list[Span] = []
-    digits = bool(_DIGIT.search(text))
-    for kind, pattern in _GENERATORS:
-        if kind == "hidden_email":
-            # Only around its mark, so that long runs of letters cost nothing.
-            done = 0
-            for mark in _AT.finditer(text):
-                m = pattern.search(text, max(done, mark.start() - 66), mark.end() + 400)
-                if m and m.start() < mark.start() < m.end():
-                    out.append((m.start(), m.end(), kind))
-                    done = m.end()
-        elif digits:
-            out += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
+    for mark in _AT.finditer(text):
+        # Only around its mark, so that long runs of letters cost nothing.
+        m = _BEFORE_AT.search(text, max(0, mark.start() - 65), mark.start())
+        for pattern in _HOSTS if m else ():
+            host = pattern.match(text, mark.end())
+            if not host:
+                break
+            out.append((m.start(), host.end(), "hidden_email"))
+    if _DIGIT.search(text):
+        for kind, pattern, others in _GENERATORS:
+            m = pattern.search(text)
+            while m:
+                ends = {m.end(), *(x.end() for p in others if (x := p.match(text, m.start())))}
+                out += [(m.start(), end, kind) for end in sorted(ends)]
+                m = pattern.search(text, m.start() + 1)
     return out
 
 
@@ -130,7 +139,13 @@ def _mod97(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
-FEATURES = 16
+FEATURES = 18
+
+
+def _more_host(text: str, span: Span) -> bool:
+    """Whether a written-out dot and a label follow."""
+    m = _MORE_HOST.match(text, span[1])
+    return bool(m) and (m[0][:1] != "." or m[0][1:2] != " ")
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -147,7 +162,8 @@ def features(text: str, span: Span) -> list[float]:
         float(kind == "iban" and _mod97(value)), float(luhn(digits or "1")),
         float(any(w in named for w in CONTEXT[kind])),
         float(before[-1:].isalnum()), float(text[end : end + 1].isalnum()),
-        float("dot" in value.lower() or "(at)" in value or "[at]" in value),
+        float("dot" in value.lower() or "(at)" in value.lower() or "[at]" in value.lower()),
+        float(kind == "hidden_email" and ". " in value), float(kind == "hidden_email" and _more_host(text, span)),
     ]
 
 
@@ -268,6 +284,22 @@ def _sentences(n: int, seed: int) -> list[tuple[str, str, bool]]:
     return out
 
 
+def _crowded(n: int, seed: int) -> list[tuple[str, Span]]:
+    """Generated texts with a plain `at` before or a sentence after a written-out address: the text and the address."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(["an", "er", "th", "ion", "re", "st", "el", "os"]) for _ in range(rng.randint(1, 4)))
+    out = []
+    for _ in range(n):
+        at, dot = rng.choice([(" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] ")])
+        local = word() + (f".{word()}" if rng.random() < 0.5 else "")
+        value = local + at + dot.join([*(word() for _ in range(rng.randint(1, 3))), rng.choice(["com", "org", "net", "example"])])
+        value = value.upper() if rng.random() < 0.2 else value
+        before = rng.choice([f"{word()} {word()} at {word()}. ", f"{word()} {word()} ", f"{word()} {rng.choice(CONTEXT['hidden_email'])}: "])
+        after = rng.choice([f" {word()} {word()}", f". {word().capitalize()} {word()}", "", "."])
+        out.append((before + value + after, (len(before), len(before) + len(value), "hidden_email")))
+    return out
+
+
 @lru_cache(maxsize=4)
 def train_candidate_model(n: int = 6000, precision: float = 0.97, seed: int = 3) -> CandidateModel:
     x, y, kinds = [], [], []
@@ -276,6 +308,11 @@ def train_candidate_model(n: int = 6000, precision: float = 0.97, seed: int = 3)
             x.append(features(text, span))
             y.append(good and span[2] == kind)
             kinds.append(span[2])
+    for text, address in _crowded(n // 3, seed + 1):
+        for span in candidates(text):
+            x.append(features(text, span))
+            y.append(span == address)
+            kinds.append(span[2])
     x, y, kinds = np.array(x), np.array(y, float), np.array(kinds)
     held = np.arange(len(y)) % 3 == 0
     boosting = Boosting().fit(x[~held], y[~held])

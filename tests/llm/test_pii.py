@@ -88,3 +88,30 @@ def test_redaction(spark):
     rows = [(1, "x@y.zz", 6, "k"), (2, None, None, "k"), (3, "clean", 5, "k")]
     got = pii.redact_pii(spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint, base string")).collect()
     assert [tuple(r) for r in got] == [(1, "[EMAIL]", 7, "k"), (2, None, None, "k"), (3, "clean", 5, "k")]
+
+
+def test_overlapping_proposals():
+    """A plain `at`, upper case, a sentence after: the address itself is proposed and chosen."""
+    model = pii.train_candidate_model()
+    for text, want in [
+        ("We met at noon. jane.doe at example dot org", "jane.doe at example dot org"),
+        ("look at home. john at host dot org", "john at host dot org"),
+        ("JANE AT EXAMPLE DOT ORG", "JANE AT EXAMPLE DOT ORG"),
+        ("write to john at host dot org. Then go", "john at host dot org"),
+        ("mail ann at mail dot host dot org now", "ann at mail dot host dot org"),
+    ]:
+        at = text.index(want)
+        assert (at, at + len(want), "hidden_email") in pii.candidates(text), text
+        assert [text[s:e] for s, e, _ in pii.find_in_text(text, model)[1]] == [want], text
+    assert {"12 345 678", "345 678 9012"} <= {"12 345 678 9012"[s:e] for s, e, _ in pii.candidates("12 345 678 9012")}
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert (0, len(iban), "iban") in pii.candidates(iban + " CASH")
+
+
+def test_crowded_sentences_on_held_out_texts():
+    model = pii.train_candidate_model()
+    texts = pii._crowded(1000, seed=98)
+    found = [[s for s in pii.find_in_text(t, model)[1] if s[2] in pii.ADDED] for t, _ in texts]
+    right = sum(want in f for f, (_, want) in zip(found, texts, strict=True))
+    print("right", right, "spans", sum(map(len, found)))
+    assert right > 900 and right > 0.9 * sum(map(len, found))
