@@ -9,6 +9,8 @@ directly. Words unknown to the benchmark give the longest jump.
 Words are taken from the text with A-Z lower-cased: runs of a-z, 0-9 and non-ASCII
 characters. A null text has no words; an item without words has no window. Each row of the
 documents gives one row; repeated item ids count once. An empty benchmark hits nothing.
+Items without an id hit words like any other: together they are one null at the end of the items
+of a row, counted as an item but not joined into the list of ids.
 """
 
 from __future__ import annotations
@@ -33,9 +35,9 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WuManber:
     """Shift tables and suffix buckets of a bounded set of items, by window length."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = 10):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = 10):
         self.vocabulary: dict[bytes, int] = {}
-        patterns: dict[int, dict[tuple[int, ...], set[str]]] = {}
+        patterns: dict[int, dict[tuple[int, ...], set[str | None]]] = {}
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             n = min(window, len(ids))
@@ -85,10 +87,10 @@ class WuManber:
         return sum(merged[1::2]) - sum(merged[::2]), items, merged
 
 
-def _blocks(benchmark: DataFrame, limit: int, id_col: str, text_col: str) -> list[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, limit: int, id_col: str, text_col: str) -> list[list[tuple[str | None, bytes]]]:
     """The items in blocks of at most limit bytes of text (a longer item alone)."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null")
-    blocks: list[list[tuple[str, bytes]]] = [[]]
+    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null")
+    blocks: list[list[tuple[str | None, bytes]]] = [[]]
     size = 0
     for r in rows.distinct().orderBy("i", "t").toLocalIterator():
         text = r.t.encode("utf-8")
@@ -101,7 +103,7 @@ def _blocks(benchmark: DataFrame, limit: int, id_col: str, text_col: str) -> lis
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20, keep: bool = False, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted as strings), spans (hit ranges of word numbers).
+    """doc_id, n_words, n_hit, items (sorted as strings, null last), spans (hit ranges of word numbers).
 
     Each block of at most block_bytes of benchmark text is searched in a pass of its own, so
     what is broadcast at once is bounded whatever the benchmark's size; the usual benchmark is
@@ -114,7 +116,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_
     names = [f"_hit{k}" for k in range(4)] if keep else ["n_words", "n_hit", "items", "spans"]
     kinds = [T.LongType(), T.LongType(), T.ArrayType(T.StringType()), T.ArrayType(T.IntegerType())]
 
-    def one(df: DataFrame, block: list[tuple[str, bytes]], again: bool) -> DataFrame:
+    def one(df: DataFrame, block: list[tuple[str | None, bytes]], again: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches):
@@ -131,7 +133,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_
                             items |= set(old_items)
                             spans = _union(spans, old_spans)
                             n = sum(spans[1::2]) - sum(spans[::2])
-                        rows.append((len(words), n, sorted(items), spans))
+                        rows.append((len(words), n, sorted(items, key=lambda i: (i is None, i or "")), spans))
                     new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32())), strict=True)]
                     yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(part.start, len(part)) for k in range(len(head))), *new], [*head, *names])
 

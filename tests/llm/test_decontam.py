@@ -63,3 +63,25 @@ def test_very_common_passage(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j " * 20_000)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id bigint, text string")
     assert decontam.contamination_report(docs, items).first().n_hit == 200_000
+
+
+def test_items_without_an_id_equal_the_sql(spark):
+    import duckdb
+
+    from loomgraph.llm import queries
+
+    one, two = (" ".join(f"{x}{k}" for k in range(14)) for x in "ab")
+    docs = [(1, f"x {one} y"), (2, f"{one} and {two}"), (3, "clean words only"), (4, f"{two} z"), (None, one)]
+    items = [(None, one), (None, "short item"), ("i1", two), ("i2", None), (None, None), (None, one)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.execute("create table benchmark (item_id varchar, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    con.executemany("insert into benchmark values (?, ?)", items)
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id string, text string")
+    df = decontam.contamination_report(*frames, queries.WINDOW)
+    want = con.execute(f"select {', '.join(df.columns)} from ({queries.ORACLE_SQL['op9_decontam']})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    assert sum(r[2] > 0 for r in want) == 4
+    small = decontam.contaminated(*frames, queries.WINDOW, block_bytes=20)
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in small.collect()} == {(r.doc_id, r.n_hit, tuple(r["items"])) for r in decontam.contaminated(*frames, queries.WINDOW).collect()}
