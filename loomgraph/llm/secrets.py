@@ -7,18 +7,20 @@ chi-squared statistic of the symbol counts against uniformity, the runs of the u
 half of the alphabet, and the serial correlation of neighbours. Fisher's method joins their
 p-values: near 1 the token looks drawn at random, near 0 it doesn't.
 
-Which tokens count is decided over the whole corpus by length class. Tokens of letters only
-are the null set of ordinary words; the share of them (of this class or shorter ones, for
-which the tests are weaker) that look at least as random is a token's p-value as an ordinary
-one. Tokens of letters and digits are then admitted by Benjamini and Hochberg's rule at the
-rate `q` in each class. Added spans never overlap base spans.
+Their p-values are those of the tests' own null distributions, that of tokens drawn at random. In
+each length class Benjamini and Hochberg's rule at the rate `q` rejects that for the distinct
+tokens of letters and digits; those left look random and are admitted. So of the tokens set aside
+as patterned about a share of q is random at most; copies count once, and a token needs
+no others beside it. Added spans never overlap base spans.
 
 Positions are code points. A null text counts as empty. Each row of the documents gives one
-row; empty tables give empty tables. Nothing is shuffled but counts of 4 x 201 cells.
+row; empty tables give empty tables. Nothing is shuffled but hashes of the tokens.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def _battery(token: str) -> str:
         ("d", f"named_struct('n', d.n, 't', d.t, 'f', -(ln({_upper_tail('d.chi')}) + ln(least(1D, 2 * {_upper_tail('d.rz')})) + ln(least(1D, 2 * {_upper_tail('d.sz')}))))"),
         ("d", "named_struct('n', d.n, 't', d.t, 'lp', d.f - ln(1 + d.f + d.f * d.f / 2))"),
     ]
-    out = f"named_struct('lc', {'case ' + classes.replace('n >=', 'd.n >=') + ' end'}, 'bin', cast(least({BINS}D, floor(d.lp * 4)) as int), 'cand', d.t rlike '[0-9]' and d.t rlike '[A-Za-z]', 'word', not d.t rlike '[^A-Za-z]')"
+    out = f"named_struct('lc', {'case ' + classes.replace('n >=', 'd.n >=') + ' end'}, 'bin', cast(least({BINS}D, floor(d.lp * 4)) as int), 'cand', d.t rlike '[0-9]' and d.t rlike '[A-Za-z]')"
     for name, value in reversed(steps):
         out = f"transform(array({value}), {name} -> {out})[0]"
     return out
@@ -99,28 +101,25 @@ def scan(docs: DataFrame) -> DataFrame:
     quoted = ASSIGN.replace("\\", "\\\\").replace("'", "\\'")
     df = df.withColumn("assign_m", F.expr(f"filter(assign_m, x -> length(regexp_extract(x.m, '{quoted}', 2)) >= 6)"))
     base = F.concat(*(F.expr(f"transform({kind}_m, x -> named_struct('s', x.s, 'r', {r}, 'e', x.e))") for r, kind in enumerate(KINDS[:3])))
-    tokens = F.expr(f"transform(token_m, x -> named_struct('s', x.s, 'e', x.e, 'b', {_battery('x.m')}))")
+    tokens = F.expr(f"transform(token_m, x -> named_struct('s', x.s, 'e', x.e, 'h', xxhash64(x.m), 'b', {_battery('x.m')}))")
     return df.select("doc_id", F.array_sort(base).alias("base"), tokens.alias("tokens"))
 
 
 def admitted_bins(scanned: DataFrame, q: float = 0.05) -> dict[int, int]:
     """The largest admitted bin of each length class (-1: none)."""
-    cells = scanned.select(F.explode("tokens").alias("t")).groupBy(F.col("t.b.lc").alias("lc"), F.col("t.b.bin").alias("bin")).agg(F.count_if(F.col("t.b.cand")).alias("cands"), F.count_if(F.col("t.b.word")).alias("words"))
-    rows = cells.collect()  # 4 x 201 at most
+    distinct = scanned.select(F.explode("tokens").alias("t")).where("t.b.cand").select("t.b.lc", "t.b.bin", "t.h").distinct()
+    rows = distinct.groupBy("lc", "bin").count().collect()  # 4 x 201 at most
     out = {}
     for lc in range(len(CLASSES)):
-        words = [0] * (BINS + 1)
         cands = [0] * (BINS + 1)
         for r in rows:
-            if r.lc <= lc:
-                words[r.bin] += r.words
             if r.lc == lc:
-                cands[r.bin] += r.cands
-        all_words, all_cands, out[lc] = sum(words), sum(cands), -1
-        for b in range(BINS + 1):
-            as_word = (1 + sum(words[: b + 1])) / (1 + all_words)
-            if sum(cands[: b + 1]) and as_word * all_cands / sum(cands[: b + 1]) <= q:
-                out[lc] = b
+                cands[r.bin] += r["count"]
+        out[lc] = BINS
+        for b in range(BINS, -1, -1):
+            # A token of bin b has a p-value of exp(-b / 4) at most.
+            if sum(cands[b:]) and math.exp(-b / 4) * sum(cands) / sum(cands[b:]) <= q:
+                out[lc] = b - 1
     return out
 
 

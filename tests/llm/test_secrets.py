@@ -73,3 +73,19 @@ def test_no_python_in_the_plan(spark):
 
 def test_empty_table(spark):
     assert secrets.secret_digests(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_random_tokens_of_any_corpus(spark):
+    """Few tokens and no long words, and the same with a hot group of copies: the same spans."""
+    rng = random.Random(8)
+    token = lambda n, signs: "".join(rng.choice(signs) for _ in range(n))
+    few = [(k, f"see {token(40, string.ascii_letters + string.digits)} here") for k in range(40)]
+    few += [(40 + k, f"see /docs/release-notes-of-the-year-20{k}/index-of-all-pages end") for k in range(10)]
+    hot = [(100, f"{token(32, string.ascii_letters)} and /blog/news-and-notes-of-the-team-2024/all-entries-in-order")] * 3000
+    spans = lambda rows: {r.doc_id: r.spans for r in secrets.secret_digests(spark.createDataFrame(rows, DOCS)).collect()}
+    alone, crowd = spans(few), spans(few + hot)
+    assert sum("random" in alone[k] for k in range(40)) >= 34
+    assert not any("random" in alone[k] for k in range(40, 50))
+    print("random of 40:", sum("random" in alone[k] for k in range(40)))
+    assert {k: crowd[k] for k in alone} == alone and "random" not in crowd[100]
+    assert sum("random" in x for x in spans(few[:5]).values()) >= 3
