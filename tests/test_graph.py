@@ -98,3 +98,41 @@ def test_quotas():
 def test_two_types_of_one_name(spark):
     e = spark.createDataFrame([("a", "b", "r", "entity_relation", "d", 0), ("a", "c", "r", "event_relation", "d", 0), ("c", "b", "is participated by", "event_entity", "d", 0)], "src string, dst string, relation string, edge_type string, source_doc_id string, source_chunk_id int")
     assert sorted(map(tuple, kg.triple_nodes(e).collect())) == [("a", "entity"), ("a", "event"), ("b", "entity"), ("c", "event")]
+
+
+def test_betweenness_of_500_sources(spark):
+    """The registered query against Brandes' method in plain Python, on small tables."""
+    from collections import defaultdict, deque
+    from hashlib import sha256
+
+    from loomgraph.plans import fixtures, registry
+
+    sf = "/root/testdata/sf0.01"
+    links, nodes = defaultdict(set), set()
+    for r in fixtures.transitions(spark, sf).select("src", "dst").collect():
+        nodes |= {r.src, r.dst}
+        if r.src != r.dst:
+            links[r.src].add(r.dst)
+    sources = sorted(nodes, key=lambda v: (sha256(v.encode()).hexdigest(), v))[:500]
+    want = dict.fromkeys(nodes, 0.0)
+    for s in sources:
+        paths, level, order, queue = defaultdict(float, {s: 1.0}), {s: 0}, [], deque([s])
+        while queue:
+            v = queue.popleft()
+            order.append(v)
+            for w in links[v]:
+                if w not in level:
+                    level[w] = level[v] + 1
+                    queue.append(w)
+                if level[w] == level[v] + 1:
+                    paths[w] += paths[v]
+        delta = dict.fromkeys(order, 0.0)
+        for v in reversed(order):
+            delta[v] = sum(paths[v] / paths[w] * (1 + delta[w]) for w in links[v] if level[w] == level[v] + 1)
+            if v != s:
+                want[v] += delta[v]
+    n = len(nodes)
+    got = {r.id: r.betweenness for r in registry.QUERIES["betweenness_500"](spark, sf).collect()}
+    print("nodes", n, "sources", len(sources))
+    assert len(sources) > 20
+    assert got == pytest.approx({v: x / ((n - 1) * (n - 2)) * n / len(sources) for v, x in want.items()}, abs=1e-6)
