@@ -30,10 +30,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Each round is cut by a checkpoint, so that lost executors cost one round at most. The
     number of rounds grows with the logarithm of the longest path.
     """
-    edges = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    loops = edges.where("u = v").select(F.col("u").alias("node"))
-    links = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    nodes = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node"))).union(loops).distinct()
+    given = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
+    edges = cut(given.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    links = edges.where("u <> v")
+    nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
     state = None
     for _ in range(max_rounds):
         links = cut(_star(_star(links, True), False))
