@@ -9,16 +9,18 @@ directly. Words unknown to the benchmark give the longest jump.
 Words are taken from the text with A-Z lower-cased: runs of a-z, 0-9 and non-ASCII
 characters. A null text has no words; an item without words has no window. Each row of the
 documents gives one row; repeated item ids count once. An empty benchmark hits nothing.
+Texts of any length are searched whole. Other columns, whatever their names, are not read.
 Items without an id hit words like any other: together they are one null at the end of the items
 of a row, counted as an item but not joined into the list of ids.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomgraph.llm._common import doc_columns, lower_ascii_table, steps, utf8
 from loomgraph.session import cut, prepare
@@ -87,34 +89,30 @@ class WuManber:
         return sum(merged[1::2]) - sum(merged[::2]), items, merged
 
 
-def _blocks(benchmark: DataFrame, limit: int, id_col: str, text_col: str) -> list[list[tuple[str | None, bytes]]]:
-    """The items in blocks of at most limit bytes of text (a longer item alone)."""
+def _blocks(benchmark: DataFrame, limit: int, id_col: str, text_col: str) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The items in blocks of at most limit bytes of text (a longer item alone); the driver holds one at a time."""
     rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t")).where("t is not null")
-    blocks: list[list[tuple[str | None, bytes]]] = [[]]
+    block: list[tuple[str | None, bytes]] = []
     size = 0
     for r in rows.distinct().orderBy("i", "t").toLocalIterator():
         text = r.t.encode("utf-8")
-        if size + len(text) > limit and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r.i, text))
+        if size + len(text) > limit and block:
+            yield block
+            block, size = [], 0
+        block.append((r.i, text))
         size += len(text)
-    return blocks
+    yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20, keep: bool = False, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted as strings, null last), spans (hit ranges of word numbers).
 
     Each block of at most block_bytes of benchmark text is searched in a pass of its own, so
     what is broadcast at once is bounded whatever the benchmark's size; the usual benchmark is
-    one block. keep: all columns of docs come first, instead of doc_id.
+    one block.
     """
     spark = prepare(docs.sparkSession)
-    base = docs if keep else doc_columns(docs)
-    text_at, head = base.columns.index("text"), base.columns
-    blocks = _blocks(benchmark, block_bytes, item_col, item_text_col)
-    names = [f"_hit{k}" for k in range(4)] if keep else ["n_words", "n_hit", "items", "spans"]
-    kinds = [T.LongType(), T.LongType(), T.ArrayType(T.StringType()), T.ArrayType(T.IntegerType())]
+    names, kinds = ["doc_id", "n_words", "n_hit", "items", "spans"], [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32())]
 
     def one(df: DataFrame, block: list[tuple[str | None, bytes]], again: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
@@ -122,30 +120,52 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_
         def run(batches):
             wu = WuManber(shared.value, window)
             for batch in batches:
-                texts = utf8(batch.column(text_at))
+                texts = utf8(batch.column(1))
                 for part in steps([len(t or b"") for t in texts]):
                     rows = []
                     for k in part:
                         words = words_of(texts[k])
                         n, items, spans = wu.search(words)
                         if again:
-                            old_items, old_spans = batch.column(len(head) + 2)[k].as_py(), batch.column(len(head) + 3)[k].as_py()
+                            old_items, old_spans = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
                             items |= set(old_items)
                             spans = _union(spans, old_spans)
                             n = sum(spans[1::2]) - sum(spans[::2])
                         rows.append((len(words), n, sorted(items, key=lambda i: (i is None, i or "")), spans))
-                    new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32())), strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(part.start, len(part)) for k in range(len(head))), *new], [*head, *names])
-
-        schema = T.StructType(list(base.schema.fields))
-        for name, kind in zip(names, kinds, strict=True):
-            schema = schema.add(name, kind)
-        return df.mapInArrow(run, schema)
-
-    out = one(base, blocks[0], False)
-    for k, block in enumerate(blocks[1:], 1):
-        out = one(cut(out) if k % 8 == 0 else out, block, True)
-    return out if keep else out.select("doc_id", *names)
+                    new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds[1:], strict=True)]
+                    doc, text = (batch.column(c).slice(part.start, len(part)) for c in range(2))
+                    yield pa.RecordBatch.from_arrays([doc, text, *new], ["doc_id", "text", *names[1:]])
+
+        return df.mapInArrow(run, f"doc_id bigint, text string, {HITS}")
+
+    out = doc_columns(docs)
+    for k, block in enumerate(_blocks(benchmark, block_bytes, item_col, item_text_col)):
+        out = one(cut(out) if k and k % 8 == 0 else out, block, k > 0)
+    return out.select(names)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs without a hit word, with all of their columns and no other."""
+    spark = prepare(docs.sparkSession)
+    text_at = docs.columns.index(text_col)
+
+    def one(df: DataFrame, block: list[tuple[str | None, bytes]]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches):
+            wu = WuManber(shared.value, window)
+            for batch in batches:
+                texts = utf8(batch.column(text_at))
+                for part in steps([len(t or b"") for t in texts]):
+                    clean = pa.array([not wu.search(words_of(texts[k]))[0] for k in part], pa.bool_())
+                    yield batch.slice(part.start, len(part)).filter(clean)
+
+        return df.mapInArrow(run, docs.schema)
+
+    out = docs
+    for k, block in enumerate(_blocks(benchmark, block_bytes, item_col, item_text_col)):
+        out = one(cut(out) if k and k % 8 == 0 else out, block)
+    return out
 
 
 def _union(a: list[int], b: list[int]) -> list[int]:

@@ -85,3 +85,15 @@ def test_items_without_an_id_equal_the_sql(spark):
     assert sum(r[2] > 0 for r in want) == 4
     small = decontam.contaminated(*frames, queries.WINDOW, block_bytes=20)
     assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in small.collect()} == {(r.doc_id, r.n_hit, tuple(r["items"])) for r in decontam.contaminated(*frames, queries.WINDOW).collect()}
+
+
+def test_clean_rows_keep_all_columns(spark):
+    """Columns named like the operator's own stay; several blocks drop what one drops."""
+    docs, items = made(7)
+    d = spark.createDataFrame([(*r, "n", 5, None) for r in docs], "doc_id bigint, text string, n_hit string, _hit1 int, items string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    clean = {w[0] for w in brute(docs, items, 4) if not w[-1]}
+    for limit in (1 << 20, 40):
+        got = decontam.drop_contaminated(d, b, 4, block_bytes=limit)
+        assert got.columns == d.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted([(*r, "n", 5, None) for r in docs if r[0] in clean], key=str)

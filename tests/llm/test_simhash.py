@@ -60,7 +60,7 @@ def test_links_of_near_fingerprints(spark, block):
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     frame = spark.createDataFrame([(s,) for s in signed], "fp bigint")
-    links = simhash._links(simhash._ring_keys(frame), block, 3)
+    links = simhash._links(simhash._ring_keys(frame), block, simhash.NARROW)
     got = {r.node: r.component for r in simhash.connected_components(links).collect()}
     groups, want = defaultdict(set), defaultdict(set)
     for s, part in zip(signed, brute_components(fps), strict=True):
