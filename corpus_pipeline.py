@@ -2,8 +2,8 @@
 
 Each stage is a function of (spark, docs, sf_dir), works on all rows its predecessor kept and
 gives a DataFrame that is written as Parquet and read again. All but the last return the
-columns of docs. Null and empty texts are documents like any other; copies of one are a
-group of near copies.
+columns of docs, whatever these are named. Null and empty texts are documents like any other; copies
+of one are a group of near copies. Rows with a null or repeated id are rows like any other.
 """
 
 from __future__ import annotations
@@ -12,10 +12,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe, decontam, nearcopies, pii, queries, toxicity
-from loomgraph.session import cut, prepare, shared_dir
+from loomgraph.llm import bpe, decontam, pii, queries, simhash, toxicity
+from loomgraph.session import prepare, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,21 +32,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     It is the row of the least doc_id, nulls last, then of the least row hashes.
     """
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r1", "r2")
-    first = cut(nearcopies.near_copies(docs).groupBy("part").agg(F.min(order).alias("o")).select("o.r1", "o.r2"))
-    kept = docs.select("*", *nearcopies.row_hashes(docs)).join(first, ["r1", "r2"], "left_semi")
-    rows = kept.dropDuplicates(["r1", "r2"]) if _repeated(first, kept) else kept
-    return rows.select(*docs.columns)
-
-
-def _repeated(first: DataFrame, kept: DataFrame) -> bool:
-    return first.count() != kept.select("r1").count()
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontam.contaminated(docs, _table(spark, sf_dir, "benchmark"), queries.WINDOW, keep=True)
-    return found.where(F.col("_hit1") == 0).select(*docs.columns)
+    return decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"), queries.WINDOW)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
