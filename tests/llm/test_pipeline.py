@@ -1,5 +1,7 @@
 import corpus_pipeline
-from loomgraph.llm import decontam, pii, simhash, toxicity
+from loomgraph.llm import decontam, pii, toxicity
+
+from test_similar_texts import brute_classes  # noqa: I001
 
 
 def test_stages_against_plain_code(spark, tmp_path):
@@ -18,19 +20,8 @@ def test_stages_against_plain_code(spark, tmp_path):
             p = chain.predict([toxicity._hashed(toxicity.features_of(r.text.encode())) for r in before])
             assert set(after) == {r.doc_id for r, x in zip(before, p[:, -1], strict=True) if x < 0.5}
         elif name == "near_copies":
-            fps = [simhash.fingerprint(r.text.encode()) for r in before]
-            kept, parent = set(), list(range(len(fps)))
-
-            def find(i):
-                while parent[i] != i:
-                    i = parent[i]
-                return i
-
-            for i in range(len(fps)):
-                for j in range(i):
-                    if (fps[i] ^ fps[j]).bit_count() <= 3:
-                        parent[max(find(i), find(j))] = min(find(i), find(j))
-            kept = {before[i].doc_id for i in range(len(fps)) if find(i) == i}
+            _, part = brute_classes([r.text for r in before])
+            kept = {before[i].doc_id for i in set(part)}
             assert set(after) == kept
         elif name == "decontamination":
             wu = decontam.WuManber([(str(r.item_id), r.text.encode()) for r in bench.collect()])
@@ -45,12 +36,20 @@ def test_stages_against_plain_code(spark, tmp_path):
 
 
 def test_odd_rows(spark, tmp_path):
+    """Null and repeated ids, an id with two texts, empty and very long texts, columns named like the stages' own."""
+    long = " ".join(f"w{k}" for k in range(60_000))
     rows = [(1, None, "en", "s", None), (2, "", None, "s", 0), (2, "", None, "s", 0), (3, "a@b.cd words", "en", None, 12), (3, "a@b.cd words", "en", None, 12)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    rows += [(None, "one text without an id", None, None, 1), (None, "and quite another text", None, None, 1), (4, "the first text of four", "en", "s", 1), (4, "what else has number four", "en", "s", 1), (5, long, "en", "s", 1)]
+    extra = "_hit1 string, key string, part string, r1 string, rank int, fp string, row string, n_hit int"
+    docs = spark.createDataFrame([(*r, "x", "x", "x", "x", 1, "x", "x", 1) for r in rows], f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}")
+    empty = docs.limit(0)
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert stage(spark, docs, "/root/testdata/sf0.001").columns == docs.columns
+        assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0
         stage(spark, docs, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
-    assert sorted(r.doc_id for r in docs.collect()) == [1, 3]
+    assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "3", "4", "4", "5", "None", "None"]
 
 
 def test_oracle_queries_equal_duckdb(spark):

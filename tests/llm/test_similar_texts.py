@@ -1,7 +1,10 @@
 import random
 
 import corpus_pipeline
-from loomgraph.llm import nearcopies
+import numpy as np
+from pyspark.sql import functions as F
+
+from loomgraph.llm import simhash
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -49,7 +52,9 @@ def test_recall_against_brute_force(spark):
     texts = varied(1, 60)
     pairs, want = brute_classes(texts)
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], COLUMNS)
-    part = {r.doc_id: r.part for r in nearcopies.near_copies(docs).collect()}
+    _, members = simhash.similar_texts(docs, F.col("doc_id"))
+    known = {r.key: r.part for r in members.collect()}
+    part = {k: known[int(np.uint64(simhash._set_key(simhash.shingle_set(t.encode()))).view(np.int64))] for k, t in enumerate(texts)}
     found = sum(part[a] == part[b] for a, b in pairs)
     print("pairs", len(pairs), "found", found)
     assert len(pairs) > 300 and found >= 0.99 * len(pairs)
