@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-All new words of a step are laid end to end. An inverted index maps the rank of each
-adjacent token pair (the rank of the joined bytes) to the word positions where it stands. The
-merges are replayed in rank order over all words at once; a merge touches only its two
-neighbours, whose new pairs enter the index. Words of up to SHORT bytes go through the index
-window by window of ranks in numpy: inside a window each word applies its lowest pair, then
-the next. Longer words go pair by pair. Encoded words are kept in a bounded cache.
+The distinct new words of a step (STEP characters of texts) are laid end to end. An inverted index
+maps the rank of each adjacent token pair (the rank of the joined bytes) to the positions in all words
+where it stands. The merges are replayed in rank order: a rank's turn merges its pairs in all words
+at once and touches only their two neighbours, whose new pairs enter the index. A turn of a lower rank
+comes back only where a merge made such a pair, which must go first in its word. Encoded words are
+kept in a bounded cache, so a word of the corpus is merged about once a worker.
 
 Nulls count as empty texts (no ids). Texts of any length are encoded whole; ties of equal
 ranks inside a word go to the leftmost pair. Repeated rows give repeated rows, empty tables
@@ -33,10 +33,8 @@ from loomgraph.session import prepare
 #: A single space between two characters that are no spaces always starts a token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNSURE = re.compile(r"\s \s")
-
-
-#: Words of up to so many bytes are replayed in numpy.
-SHORT = 48
+#: Characters of text whose new words are merged together.
+STEP = 1 << 22
 #: The rank of what is no pair.
 NONE = 1 << 62
 
@@ -51,29 +49,18 @@ class MergeReplay:
     """Encodes many words together."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.bytes_of = dict(zip(ranks.values(), ranks.keys(), strict=True))
-        self.pairs: dict[int, int] = {}
         self.token = {w: _packed([r]) for w, r in ranks.items()}
         found = {a << 32 | b: r for w, r in ranks.items() for k in range(1, len(w)) if (a := ranks.get(w[:k])) is not None and (b := ranks.get(w[k:])) is not None}
         keys = np.array([*found, NONE], np.int64)  # the last is of no pair
         order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], np.array([*found.values(), NONE], np.int64)[order]
-        #: Where windows of ranks end: each is an eighth wider than all before it.
-        self.windows = _windows(max(ranks.values()) + 1)
+        self.pair_keys, self.pair_ranks = keys[order], np.array([*found.values(), -1], np.int64)[order]
         #: The rank of each pair of bytes, -1 without one.
         self.first = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int64)
-
-    def pair_rank(self, a: int, b: int) -> int:
-        """The rank of the joined bytes, or -1."""
-        key = a << 32 | b
-        r = self.pairs.get(key)
-        if r is None:
-            if len(self.pairs) > 150_000:
-                self.pairs.clear()
-            r = self.pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return r
+        every = np.arange(max(ranks.values()) + 1)
+        #: Ranks whose merge next to another of the same makes a pair of a lower rank.
+        twice = self._ranks_of(every, every)
+        self.falls = ((twice >= 0) & (twice < every)).tolist()
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word."""
@@ -82,25 +69,25 @@ class MergeReplay:
     def encode_packed(self, words: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; a word that is a token is that token, others are merged."""
         out, known = [b""] * len(words), self.token.get
-        short, long = [], []
+        rest = []
         for k, w in enumerate(words):
             ids = known(w)
             if ids is not None:
                 out[k] = ids
             elif w:
-                (short if len(w) <= SHORT else long).append(k)
-        for part, replay in ((short, self._replay), (long, self._replay_long)):
-            for k, ids in zip(part, replay([words[k] for k in part]), strict=True):
-                out[k] = ids
+                rest.append(k)
+        for k, ids in zip(rest, self.replay([words[k] for k in rest]), strict=True):
+            out[k] = ids
         return out
 
     def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The ranks of token pairs, NONE without one."""
+        """The ranks of token pairs, -1 without one."""
         key = a << 32 | b
         at = np.searchsorted(self.pair_keys, key)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
 
-    def _replay(self, words: list[bytes]) -> list[bytes]:
+    def replay(self, words: list[bytes], trace: list[tuple[int, int]] | None = None) -> list[bytes]:
+        """Merges all words (none empty) together; trace gets (rank, merges) of each turn."""
         if not words:
             return []
         flat = np.frombuffer(b"".join(words), np.uint8)
@@ -109,139 +96,72 @@ class MergeReplay:
         sym, word = self.single[flat], np.repeat(np.arange(len(words)), lengths)
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[ends - 1] = before[ends - lengths] = -1
-        rank = np.full(n, NONE)  # of the pair that begins at a position
+        rank = np.full(n, -1)  # of the pair that begins at a position
         rank[:-1] = self.first[flat[:-1], flat[1:]]
-        rank[(rank < 0) | (after < 0)] = NONE
-        index: list[list[np.ndarray]] = [[] for _ in self.windows]
-        self._post(index, rank, np.arange(n))
-        for window, limit in enumerate(self.windows):
-            if not index[window]:
-                continue
-            at = _distinct(index[window])
-            index[window] = []
-            while len(at := at[rank[at] < limit]):
-                # the lowest pair of each word, the leftmost of equals
-                of = word[at]
-                starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-                i = np.minimum.reduceat(rank[at] << 32 | at, starts) & 0xFFFFFFFF
-                j, p = after[i], before[i]
-                sym[i], k = rank[i], after[j]
-                sym[j], rank[j], after[i] = -1, NONE, k
-                rank[i] = NONE
-                some = k >= 0
-                left, k = i[some], k[some]
-                before[k] = left
-                rank[left] = self._ranks_of(sym[left], sym[k])
-                some = p >= 0
-                p, right = p[some], i[some]
-                rank[p] = self._ranks_of(sym[p], sym[right])
-                self._post(index, rank, np.concatenate([left, p]), limit)
-                if len(low := p[rank[p] < limit]):
-                    at = _distinct([at, low])
-        return _cut(sym, ends)
-
-    def _post(self, index: list[list[np.ndarray]], rank: np.ndarray, at: np.ndarray, least: int = 0) -> None:
-        """Enters positions whose pairs have ranks from least on into the index."""
-        r = rank[at]
-        keep = (r >= least) & (r < NONE)
-        at = at[keep]
-        window = np.searchsorted(self.windows, r[keep], "right")
-        order = np.argsort(window, kind="stable")
-        at, window = at[order], window[order]
-        bounds = np.flatnonzero(np.r_[True, window[1:] != window[:-1], True]) if len(at) else []
-        for x, y in zip(bounds, bounds[1:], strict=False):
-            index[window[x]].append(at[x:y])
-
-    def _replay_long(self, words: list[bytes]) -> list[bytes]:
-        if not words:
-            return []
-        flat = np.frombuffer(b"".join(words), np.uint8)
-        n, lengths = len(flat), np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths)
-        index, heap = self._index(flat, ends)
-        sym = self.single[flat].tolist()
-        word = np.repeat(np.arange(len(words)), lengths).tolist()
-        links = np.arange(1, n + 1)
-        links[ends - 1] = -1
-        after = links.tolist()
-        links = np.arange(-1, n - 1)
-        links[ends - lengths] = -1
-        before = links.tolist()
-        known, rank, enter = self.pairs.get, self.pair_rank, self._enter
+        rank[after < 0] = -1
+        index: dict[int, list[np.ndarray]] = {}  # rank of a pair: its positions
+        heap: list[int] = []
+        self._enter(index, heap, rank, np.arange(n))
         while heap:
             r = heappop(heap)
-            positions = index.pop(r, None)
-            if not positions:
+            found = index.pop(r)
+            at = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+            at = at[rank[at] == r]
+            if not len(at):
                 continue
-            positions.sort()
-            held = -1  # in this word a pair of a lower rank has appeared, which goes first
-            for i in positions:
-                j = after[i]
-                if j < 0 or sym[i] < 0:
-                    continue
-                if word[i] == held:
-                    enter(index, heap, r, i)
-                    continue
-                a, b = sym[i], sym[j]
-                if (q := known(a << 32 | b)) != r and (q is not None or rank(a, b) != r):
-                    continue
-                sym[i], sym[j], k, p = r, -1, after[j], before[i]
-                after[i] = k
-                after[j] = -1
-                if k >= 0:
-                    before[k] = i
-                    b = sym[k]
-                    q = known(r << 32 | b)
-                    if q is None:
-                        q = rank(r, b)
-                    if q >= 0:
-                        enter(index, heap, q, i)
-                        if q < r:
-                            held = word[i]
-                if p >= 0:
-                    a = sym[p]
-                    q = known(a << 32 | r)
-                    if q is None:
-                        q = rank(a, r)
-                    if q >= 0:
-                        enter(index, heap, q, p)
-                        if q < r:
-                            held = word[i]
-        return _cut(np.array(sym, np.int64), ends)
-
-    def _index(self, flat: np.ndarray, ends: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
-        """The inverted index of the words' bytes: rank of a pair to its positions; and the heap of ranks."""
-        ranks = self.first[flat[:-1], flat[1:]]
-        ranks[ends[:-1] - 1] = -1
-        at = np.flatnonzero(ranks >= 0)
-        if not len(at):
-            return {}, []
-        at = at[np.argsort(ranks[at], kind="stable")]
-        sorted_ranks = ranks[at]
-        starts = np.flatnonzero(np.r_[True, np.diff(sorted_ranks) != 0])
-        heap = sorted_ranks[starts].tolist()
-        bounds, where = [*starts.tolist(), len(at)], at.tolist()
-        return {r: where[x:y] for r, x, y in zip(heap, bounds, bounds[1:], strict=False)}, heap
-
-    @staticmethod
-    def _enter(index, heap, r: int, i: int) -> None:
-        if r in index:
-            index[r].append(i)
-        else:
-            index[r] = [i]
-            heappush(heap, r)
-
-
-def _windows(end: int) -> list[int]:
-    out = [256]
-    while out[-1] < end:
-        out.append(out[-1] + max(out[-1] // 8, 64))
-    return out
+            i, waits = self._turn(r, at, sym, word, after, before)
+            if trace is not None:
+                trace.append((r, len(i)))
+            j = after[i]
+            k = after[j]
+            sym[i], sym[j], rank[j], after[i] = r, -1, -1, k
+            inner = k >= 0
+            before[k[inner]] = i[inner]
+            rank[i] = -1
+            rank[i[inner]] = self._ranks_of(sym[i[inner]], sym[k[inner]])
+            p = before[i]
+            p = p[p >= 0]
+            rank[p] = self._ranks_of(sym[p], sym[after[p]])
+            self._enter(index, heap, rank, np.unique(np.concatenate([i, p, waits])))
+        return _cut(sym, ends)
 
+    def _turn(self, r: int, at: np.ndarray, sym, word, after, before) -> tuple[np.ndarray, np.ndarray]:
+        """The positions of pairs of rank r to merge now, and those that have to wait.
+
+        Of overlapping pairs the left one goes. Where a merge makes a pair of a lower rank, that
+        goes before the word's next pair of rank r: only the word's leftmost pair is merged now.
+        """
+        i = at
+        clash = after[at[:-1]] == at[1:]
+        if clash.any():
+            k, starts = np.arange(len(at)), np.concatenate([[True], ~clash])
+            i = at[(k - np.maximum.accumulate(np.where(starts, k, 0))) % 2 == 0]
+        p, k = before[i], after[after[i]]
+        right = np.where(k >= 0, self._ranks_of(np.full(len(i), r), sym[k]), -1)
+        left = np.where(p >= 0, self._ranks_of(sym[p], np.full(len(i), r)), -1)
+        falls = (right >= 0) & (right < r) | (left >= 0) & (left < r) | self.falls[r]
+        if not falls.any():
+            return i, i[:0]
+        slow = np.unique(word[i[falls]])
+        leftmost = np.concatenate([[True], word[i[1:]] != word[i[:-1]]])
+        return i[leftmost | ~np.isin(word[i], slow)], at[np.isin(word[at], slow)]
 
-def _distinct(parts: list[np.ndarray]) -> np.ndarray:
-    at = np.sort(np.concatenate(parts), kind="stable")
-    return at[np.r_[True, at[1:] != at[:-1]]]
+    @staticmethod
+    def _enter(index: dict[int, list[np.ndarray]], heap: list[int], rank: np.ndarray, at: np.ndarray) -> None:
+        """Enters positions into the index under the ranks of their pairs."""
+        r = rank[at]
+        at, r = at[r >= 0], r[r >= 0]
+        if not len(at):
+            return
+        order = np.argsort(r, kind="stable")
+        at, r = at[order], r[order]
+        cuts = np.flatnonzero(r[1:] != r[:-1]) + 1
+        for q, part in zip(r[np.concatenate([[0], cuts])].tolist(), np.split(at, cuts), strict=True):
+            if q in index:
+                index[q].append(part)
+            else:
+                index[q] = [part]
+                heappush(heap, q)
 
 
 def _cut(sym: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -325,7 +245,7 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
         enc = encoder(ranks_path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in steps([len(t) for t in texts], 3 << 19):
+            for part in steps([len(t) for t in texts], STEP):
                 ids = enc.encode(texts[part.start : part.stop])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(part.start, len(part)), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],

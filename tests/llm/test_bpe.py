@@ -54,6 +54,19 @@ def test_merge_order_of_crossing_ranks():
         assert ids == ([ranks[word]] if word in ranks else plain(word)), word
 
 
+def test_merges_go_in_rank_order_over_all_words():
+    """Without crossing ranks each rank has one turn, in order, for the pairs of all words; words of any length go the same way."""
+    ranks = bpe.load_ranks(ranks_path())
+    replay, rng = bpe.MergeReplay(ranks), random.Random(8)
+    words = [("".join(rng.choice(["th", "er", "ing", "on", "x", "qu"]) for _ in range(n))).encode() for n in [*range(2, 40)] * 5 + [3000]]
+    trace: list[tuple[int, int]] = []
+    ids = replay.replay(words, trace)
+    turns = [r for r, _ in trace]
+    falls = sum(b <= a for a, b in zip(turns, turns[1:], strict=False))
+    assert falls <= 0.05 * len(turns) and max(n for _, n in trace) > len(words)
+    assert sum(n for _, n in trace) == sum(map(len, words)) - sum(len(x) // 4 for x in ids)
+
+
 def test_query_rows(spark, library):
     rows = [(1, "Hello  world"), (1, "Hello  world"), (2, None), (None, "x"), (3, "")]
     got = bpe.bpe_digests(spark.createDataFrame([(*r, "z") for r in rows], DOCS + ", ids string"), ranks_path(), public_tokenizers.PATTERN).collect()
