@@ -5,16 +5,18 @@ words and repeated stems in the whole text and over the probabilities of the cat
 training, those earlier probabilities are out-of-fold predictions, so that a later model
 sees them as noisy as they are on new documents.
 
-The labels know one category (toxic). Two earlier links of the chain are weak labels: a
-toxic document with a word that calls a person names (insult), and one with a word that
-belittles (demeaning). The words that count as features are selected from the training
-rows of each fold by their association with the label.
+The labels know one category (toxic). The categories before it are learned from the labelled rows:
+spherical k-means parts the toxic rows by the features that mark them into `kinds` kinds, the largest
+first, and a row's category k says if it is of kind k. The chain predicts kind 1, kind 2, ..., toxic.
+The features of each link are selected from the training rows of each fold by their association
+with the label.
 
-The models are fitted on a bounded sample of labelled rows (the ids with the smallest
+The models are fitted on a bounded sample of labelled rows (`sample_docs` ids with the smallest
 hashes, near copies of a taken row left out); of repeated ids one row teaches. Null and empty
-texts have no words and get the intercepts' probabilities. Without labelled rows, or with
-one class only, nothing is toxic beyond the share of that class. Repeated rows are scored
-each; empty tables give empty tables.
+texts have no words and get the intercepts' probabilities; texts of any length are read whole, in
+time linear in them. Without labelled rows, or with one class only, nothing is toxic beyond the share
+of that class. Repeated rows are scored each; empty tables give empty tables. Other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -33,11 +35,6 @@ from loomgraph.session import prepare
 
 _WORDS = lower_ascii_table(lambda b: 97 <= b <= 122 or b >= 128)
 
-# Seed words of the weak labels.
-INSULT = "idiot moron loser clown scum trash imbecile jerk fool creep pig idiota imbécil trottel dummkopf crétin".split()
-DEMEANING = "stupid worthless pathetic disgusting useless ugly dumb vile filthy despicable estúpido wertlos dumm nul".split()
-
-CHAIN = ("insult", "demeaning", "toxic")
 #: Lengths of stems.
 STEMS = (5, 6, 7)
 
@@ -67,17 +64,21 @@ def features_of(text: bytes | None) -> set[bytes]:
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 12) -> np.ndarray:
-    """Weights, the intercept last, by Newton's method with an L2 penalty on all but the intercept."""
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 25) -> np.ndarray:
+    """Weights, the intercept last, by damped Newton steps with an L2 penalty on all but the intercept."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6
+    loss = lambda w: float(np.logaddexp(0, x @ w).sum() - y @ (x @ w) + (ridge * w) @ w / 2)
+    before = loss(w)
     for _ in range(rounds):
         p = sigmoid(x @ w)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
-        w -= step
+        while (after := loss(w - step)) > before and np.abs(step).max() > 1e-6:
+            step /= 2
+        w, before = w - step, after
         if np.abs(step).max() < 1e-6:
             break
     return w
@@ -87,11 +88,11 @@ class Link:
     """One category: its selected words (by hash) and weights; the last weights are of earlier categories and the intercept."""
 
     def __init__(self, docs: list[np.ndarray], y: np.ndarray, earlier: np.ndarray, least_z: float, most: int, least_docs: int, penalty: float):
-        self.words = self._select(docs, y, least_z, most, least_docs)
+        self.words = self.select(docs, y, least_z, most, least_docs)
         self.w = _logistic(np.hstack([self._presence(docs), earlier]), y.astype(float), penalty)
 
     @staticmethod
-    def _select(docs, y, least_z, most, least_docs) -> np.ndarray:
+    def select(docs, y, least_z, most, least_docs) -> np.ndarray:
         n1, n0 = int(y.sum()), int((1 - y).sum())
         if not n1 or not n0:
             return np.zeros(0, np.uint32)
@@ -116,11 +117,52 @@ class Link:
         return sigmoid(np.hstack([self._presence(docs), earlier, np.ones((len(docs), 1))]) @ self.w)
 
 
+def chain_names(kinds: int = 2) -> tuple[str, ...]:
+    """The categories in the order in which they are predicted."""
+    return (*(f"kind{k + 1}" for k in range(kinds)), "toxic")
+
+
+def learn_kinds(docs: list[np.ndarray], toxic: np.ndarray, kinds: int, *select) -> list[np.ndarray]:
+    """For each kind 0/1 of each document: toxic ones are parted by the features that mark them.
+
+    The means start with equal shares of the documents along their first principal axis; a toxic
+    document without such features is of the kind with the nearest mean, ties to the least number.
+    """
+    labels = [np.zeros(len(docs), int) for _ in range(kinds)]
+    rows = np.flatnonzero(toxic)
+    if not len(rows) or not kinds:
+        return labels
+    marks = Link.__new__(Link)
+    marks.words = Link.select(docs, toxic, *select)
+    x = marks._presence([docs[k] for k in rows])
+    if x.shape[1]:
+        x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    of = np.zeros(len(rows), int)
+    if x.any():
+        axis = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)[2][0]
+        axis *= np.sign(axis[np.abs(axis).argmax()])
+        of[np.lexsort((np.arange(len(x)), np.round(x @ axis, 9)))] = np.arange(len(x)) * kinds // len(x)
+        for _ in range(20):
+            centres = np.stack([x[of == k].mean(axis=0) if (of == k).any() else 0 * x[0] for k in range(kinds)])
+            old, of = of, (x @ (centres / np.maximum(np.sqrt((centres**2).sum(axis=1, keepdims=True)), 1e-9)).T).argmax(axis=1)
+            if (of == old).all():
+                break
+    by_size = np.argsort(-np.bincount(of, minlength=kinds), kind="stable")
+    for label, k in zip(labels, by_size, strict=True):
+        label[rows[of == k]] = 1
+    return labels
+
+
 class ClassifierChain:
-    def __init__(self, names=CHAIN, folds: int = 5, least_z: float = 6.0, most: int = 256, least_docs: int = 5, penalty: float = 0.3):
-        self.names, self.folds, self.links = tuple(names), folds, []
+    def __init__(self, kinds: int = 2, folds: int = 5, least_z: float = 6.0, most: int = 256, least_docs: int = 5, penalty: float = 0.3):
+        self.names, self.folds, self.links = chain_names(kinds), folds, []
         self.select = (least_z, most, least_docs, penalty)
 
+    def fit_toxic(self, docs: list[np.ndarray], toxic: np.ndarray, fold: np.ndarray) -> ClassifierChain:
+        """Learns the kinds, then the chain."""
+        kinds = learn_kinds(docs, toxic, len(self.names) - 1, *self.select[:3])
+        return self.fit(docs, dict(zip(self.names, [*kinds, toxic], strict=True)), fold)
+
     def fit(self, docs: list[np.ndarray], labels: dict[str, np.ndarray], fold: np.ndarray) -> ClassifierChain:
         """docs: sorted word hashes of each; labels: 0/1 by category; fold: fold numbers."""
         earlier = np.zeros((len(docs), 0))
@@ -183,14 +225,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000,
         y.append(label)
         words.append(np.frombuffer(f, "<u4", offset=32))
     toxic = np.array(y, int)
-    has = lambda seeds: np.array([np.isin(d, _hashed([w.encode() for w in seeds])).any() for d in words], bool)
-    weak = {"insult": toxic * has(INSULT), "demeaning": toxic * has(DEMEANING), "toxic": toxic} if words else dict.fromkeys(CHAIN, toxic)
     chain = ClassifierChain(**params)
-    return chain.fit(words, weak, np.array([zlib.crc32(str(d).encode()) % chain.folds for d in ids], int))
+    return chain.fit_toxic(words, toxic, np.array([zlib.crc32(str(d).encode()) % chain.folds for d in ids], int))
 
 
 def score_toxicity(docs: DataFrame, chain: ClassifierChain, threshold: float = 0.5, keep: bool = False) -> DataFrame:
-    """doc_id, p_insult, p_demeaning, p_toxic, toxic (p_toxic >= threshold).
+    """doc_id, p_kind1, p_kind2, p_toxic, toxic (p_toxic >= threshold).
 
     keep: instead, the rows of docs that are not toxic, with all of their columns.
     """

@@ -38,17 +38,43 @@ def test_language_odd_rows(spark, docs):
 
 
 def test_gradients_of_the_network():
-    """Backpropagation through time against finite differences, by the change of one step of training."""
-    net = langid.ByteNetwork(["a", "b"], hidden=3)
-    x = np.frombuffer(b"abcdefgh" * 8, np.uint8).reshape(1, 64)
-
-    def loss():
-        logits, _ = net._forward(np.ascontiguousarray(x.T).astype(np.intp), False)
-        return -np.log(net._softmax(logits)[:, 1, 0]).mean()
-
-    before = loss()
-    net.train(x, np.array([1]), epochs=5, batch=1, rate=0.01)
-    assert loss() < before
+    """Backpropagation through time against finite differences of the loss, for every parameter array."""
+    net = langid.ByteNetwork(["a", "b", "c"], hidden=3, dtype=np.float64)
+    rng = np.random.default_rng(0)
+    x, y = rng.integers(97, 103, (4, 12)).astype(np.uint8), np.array([0, 1, 2, 1])
+    x[0, 3:5] = 32
+    _, grads = net.gradients(x, y)
+    for name, value in net.p.items():
+        for at in rng.integers(0, value.size, 12).tolist() if name != "T" else [d * 9 * 256 + k * 256 + c for d in (0, 1) for k in range(9) for c in (97, 100)]:
+            cell = np.unravel_index(at, value.shape)
+            old, losses = value[cell], []
+            for step in (1e-5, -1e-5):
+                value[cell] = old + step
+                losses.append(net.gradients(x, y)[0])
+            value[cell] = old
+            assert np.isclose((losses[0] - losses[1]) / 2e-5, grads[name][cell], rtol=1e-4, atol=1e-8), (name, cell)
+
+
+def test_labels_of_bytes_against_a_plain_loop():
+    """Texts of different lengths, one beyond a window, byte by byte in plain Python; the state is never reset."""
+    net, rng = langid.ByteNetwork(["a", "b"], hidden=3, dtype=np.float64), np.random.default_rng(3)
+    texts = [bytes(rng.integers(0, 256, n).astype(np.uint8)) for n in (5, 300, 0, 1, 40)]
+    T, U, O, s = net.p["T"], net.p["U"], net.p["O"], lambda v: 1 / (1 + np.exp(-v))
+    found = dict(net.label_bytes(texts))
+    assert sorted(found) == list(range(len(texts)))
+    for text, got in ((texts[k], p) for k, p in found.items()):
+        logits = np.tile(net.p["b"], (len(text), 1))
+        for d in (0, 1):
+            h = np.zeros(3)
+            for k in range(len(text)) if d == 0 else range(len(text) - 1, -1, -1):
+                x, q = T[d][:, text[k]], U[d] @ h
+                z, r = s(x[:3] + q[:3]), s(x[3:6] + q[3:6])
+                h = h + z * (np.tanh(x[6:] + r * q[6:]) - h)
+                logits[k] += O[d] @ h
+        want = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+        assert got.shape == want.shape and np.allclose(got, want)
+    letters = [[b for b in t if b >= 128 or chr(b).isalpha()] for t in texts]
+    assert [bool(x) for x in letters] == [bool(row.any()) for row in net.pooled(texts)]
 
 
 def _auc(score, y):
@@ -115,13 +141,71 @@ def test_toxicity_on_planted_documents(spark):
     assert toxicity.toxicity(d.limit(0), m).count() == 0
 
 
+def _chain_rows(seed=2, n=400):
+    """Word hashes; documents with 3 or 4 are toxic, of two kinds that share the word 5."""
+    rng = np.random.default_rng(seed)
+    docs = [np.sort(rng.choice(np.arange(10, 60), 8, replace=False)).astype(np.uint32) for _ in range(n)]
+    kind = rng.integers(0, 6, n)  # 0, 1 and 2: toxic, 0 and 1 with word 3, 2 with word 4
+    docs = [np.unique(np.r_[d, [3, 5] if k < 2 else [4, 5] if k == 2 else []]).astype(np.uint32) for d, k in zip(docs, kind, strict=True)]
+    return docs, kind
+
+
+def test_kinds_are_learned_from_the_labels():
+    docs, kind = _chain_rows()
+    toxic = (kind < 3).astype(int)
+    first, second = toxicity.learn_kinds(docs, toxic, 2, 6.0, 256, 5)
+    assert (first == (kind < 2)).all() and (second == (kind == 2)).all()
+    none = toxicity.learn_kinds(docs, 0 * toxic, 2, 6.0, 256, 5)
+    assert not any(x.any() for x in none)
+
+
 def test_chain_feeds_earlier_out_of_fold_probabilities():
-    rng = np.random.default_rng(2)
-    n = 300
-    docs = [np.sort(rng.choice(50, 8, replace=False)).astype(np.uint32) for _ in range(n)]
-    a = np.array([int(3 in d) for d in docs])
-    labels = {"insult": a, "demeaning": a, "toxic": a}
-    chain = toxicity.ClassifierChain().fit(docs, labels, np.arange(n) % 5)
+    """Each link against a plain repetition: fit on the other folds, predict this one, feed that to the next link."""
+    docs, kind = _chain_rows()
+    toxic, fold = (kind < 3).astype(int), np.arange(len(docs)) % 5
+    chain = toxicity.ClassifierChain().fit_toxic(docs, toxic, fold)
+    assert chain.names == ("kind1", "kind2", "toxic")
     assert [len(link.w) - len(link.words) - 1 for link in chain.links] == [0, 1, 2]
-    assert chain.out_of_fold.shape == (n, 3)
-    assert ((chain.predict(docs)[:, 2] > 0.5) == a).mean() > 0.98
+
+    def presence(link, rows):
+        return np.array([[float(w in set(docs[k].tolist())) for w in link.words.tolist()] for k in rows]).reshape(len(rows), len(link.words))
+
+    labels = [(kind < 2).astype(int), (kind == 2).astype(int), toxic]
+    earlier = np.zeros((len(docs), 0))
+    for step, (link, y) in enumerate(zip(chain.links, labels, strict=True)):
+        out = np.zeros(len(docs))
+        for k in range(5):
+            inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            other = toxicity.Link([docs[i] for i in inside], y[inside], earlier[inside], 6.0, 256, 5, 0.3)
+            for i, x in zip(outside, presence(other, outside), strict=True):
+                out[i] = 1 / (1 + np.exp(-sum(a * b for a, b in zip([*x, *earlier[i], 1.0], other.w, strict=True))))
+        assert np.allclose(out, chain.out_of_fold[:, step])
+        full = toxicity.Link(docs, y, earlier, 6.0, 256, 5, 0.3)
+        assert (full.words == link.words).all() and np.allclose(full.w, link.w)
+        earlier = np.hstack([earlier, out[:, None]])
+    assert ((chain.predict(docs)[:, 2] > 0.5) == toxic).mean() > 0.98
+
+
+def test_toxicity_query_against_plain_scores(spark, docs, labels):
+    """Every row of the table, its features and the chain recomputed one document at a time."""
+    import re
+    import zlib
+    from collections import Counter
+
+    chain = toxicity.train_toxicity(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, chain).collect()}
+    for row in docs.select("doc_id", "text").collect():
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in row.text or "")
+        words = Counter(re.findall("[a-z\u0080-\U0010ffff]+", lowered))
+        found, stems = set(words), Counter()
+        for w, n in words.items():
+            for k in (5, 6, 7):
+                if len(w) > k and len(w.encode()) > 5:
+                    stems[w[:k]] += n
+        found |= {f"{k}*{s}" for s, n in stems.items() for k in (2, 3) if n >= k}
+        hashes, p = {zlib.crc32(f.encode()) for f in found}, []
+        for link in chain.links:
+            x = [*(float(w in hashes) for w in link.words.tolist()), *p, 1.0]
+            p.append(1 / (1 + np.exp(-sum(a * b for a, b in zip(x, link.w, strict=True)))))
+        assert np.allclose(list(got[row.doc_id])[1:4], p), row.doc_id
+        assert got[row.doc_id].toxic == (got[row.doc_id].p_toxic >= 0.5)
