@@ -8,9 +8,11 @@ gradient descent.
 
 Since the output is linear in the mean, a bucket acts through one number (the difference of
 its two logits); scoring adds these numbers, kept for each word in a bounded cache. Whole
-texts are scored. The model is fitted on a bounded sample of labelled rows (the ids with
-the smallest hashes); of repeated ids one row teaches. A text without words (null, empty)
-gets the score of the output's bias. Without labelled rows every score is 0.5.
+texts are scored, however long. The model is fitted on a bounded sample of labelled rows (`sample_docs`
+ids with the smallest hashes) by `updates` steps, whatever the size of the tables; of repeated
+ids one row teaches. A text without words (null, empty) gets the score of the output's bias. Without
+labelled rows every score is 0.5. Repeated rows are scored each; empty tables give empty tables;
+columns other than the id, the text and the label are not read.
 """
 
 from __future__ import annotations
@@ -34,9 +36,10 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def subwords(word: bytes, buckets: int, shortest: int = 3, longest: int = 5) -> list[int]:
-    """Buckets of the word itself and of its character n-grams (in bytes)."""
+    """Buckets of the word itself and of its n-grams of whole characters (their UTF-8)."""
     marked = b"<" + word + b">"
-    return [zlib.crc32(word) % buckets] + [zlib.crc32(marked[i : i + n], n) % buckets for n in range(shortest, longest + 1) for i in range(len(marked) - n + 1)]
+    cuts = range(len(marked) + 1) if word.isascii() else [k for k, b in enumerate(marked) if b & 0xC0 != 0x80] + [len(marked)]
+    return [zlib.crc32(word) % buckets] + [zlib.crc32(marked[a:b], n) % buckets for n in range(shortest, longest + 1) for a, b in zip(cuts, cuts[n:], strict=False)]
 
 
 def _bigrams(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -61,13 +64,13 @@ class SubwordModel:
         self.output = np.zeros((2, dim), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def train(self, bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int, rate: float, seed: int = 11) -> None:
-        rng = np.random.default_rng(seed)
-        done, total = 0, epochs * len(bags)
-        for _ in range(epochs):
-            for k in rng.permutation(len(bags)):
+    def train(self, bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, updates: int, rate: float, seed: int = 11) -> None:
+        """One document an update; they are taken in random order, again and again."""
+        rng, done = np.random.default_rng(seed), 0
+        while bags and done < updates:
+            for k in rng.permutation(len(bags))[: updates - done]:
                 ids, counts = bags[k]
-                lr = rate * (1 - done / total)
+                lr = rate * (1 - done / updates)
                 done += 1
                 n = counts.sum()
                 if not n:
@@ -89,7 +92,7 @@ class SubwordModel:
         return (self.vectors @ w).astype(np.float64), float(self.bias[1] - self.bias[0])
 
 
-def train_quality_model(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_docs: int = 2500, buckets: int = 1 << 17, dim: int = 16, epochs: int = 6, rate: float = 0.5) -> SubwordModel:
+def train_quality_model(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_docs: int = 2500, buckets: int = 1 << 17, dim: int = 16, updates: int = 12_000, rate: float = 0.5) -> SubwordModel:
     """docs: doc_id, text; labels: doc_id and 0/1 in `label`, of rows that may teach."""
     prepare(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
@@ -99,15 +102,15 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, label: str = "qualit
         for batch in batches:
             for k, text in enumerate(utf8(batch.column(2))):
                 ids, counts = bag(text, buckets)
-                packed = ids.astype("<u4").tobytes() + np.minimum(counts, 65535).astype("<u2").tobytes()
+                packed = ids.astype("<u4").tobytes() + counts.astype("<u8").tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([packed], pa.binary())], ["doc_id", "y", "bag"])
 
     rows = doc_columns(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
     taken = rows.mapInArrow(run, "doc_id bigint, y int, bag binary").groupBy("doc_id", "y").agg(F.min("bag").alias("bag"))
     found = sorted((r.doc_id, r.y, bytes(r.bag)) for r in taken.toLocalIterator())  # sample_docs rows at most
-    bags = [(np.frombuffer(b, "<u4", len(b) // 6).astype(np.int64), np.frombuffer(b, "<u2", len(b) // 6, len(b) // 6 * 4).astype(np.int64)) for _, _, b in found]
+    bags = [(np.frombuffer(b, "<u4", len(b) // 12).astype(np.int64), np.frombuffer(b, "<u8", len(b) // 12, len(b) // 12 * 4).astype(np.int64)) for _, _, b in found]
     model = SubwordModel(buckets, dim)
-    model.train(bags, np.array([y for _, y, _ in found], int), max(epochs, min(30, 6000 // max(1, len(bags)))), rate)
+    model.train(bags, np.array([y for _, y, _ in found], int), updates, rate)
     return model
 
 

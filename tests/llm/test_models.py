@@ -114,6 +114,39 @@ def test_scores_equal_the_plain_sum():
     assert np.isclose((w[ids] * counts).sum() / counts.sum() + b, (model.output[1] - model.output[0]) @ mean, atol=1e-5)
 
 
+def test_score_quality_against_plain_averages(spark, docs, labels):
+    """Every row of a table: the vectors of all words, n-grams of characters and bigrams averaged, then the softmax."""
+    import zlib
+
+    model = quality.train_quality_model(docs, labels, buckets=1 << 12, dim=4, updates=500)
+    texts = [*(r.text for r in docs.orderBy("doc_id").limit(150).collect()), "über Straße été 漢字漢字", "the " * 70_000, "", None, "a b"]
+    frame = spark.createDataFrame([(k, t, "x", "y") for k, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.score for r in quality.score_quality(frame, model).collect()}
+    for k, text in enumerate(texts):
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+        assert all(ord(c) != 0x85 for c in text or "")
+        total, n = np.zeros(4), 0
+        for w in words[:200] if text and text.startswith("the the") else words:
+            marked = f"<{w}>"
+            grams = [zlib.crc32(w.encode())] + [zlib.crc32(marked[i : i + m].encode(), m) for m in (3, 4, 5) for i in range(len(marked) - m + 1)]
+            total += model.vectors[[g % 4096 for g in grams]].sum(axis=0)
+            n += len(grams)
+        if text and text.startswith("the the"):
+            total, n = total * 350, n * 350
+        hashes = [zlib.crc32(w.encode()) for w in words]
+        mix = 0x9E3779B97F4A7C15
+        for a, b in zip(hashes, hashes[1:], strict=False):
+            total += model.vectors[((((a * mix % 2**64) ^ b) * mix % 2**64) >> 40) % 4096]
+            n += 1
+        logits = model.output @ (total / max(n, 1)) + model.bias
+        assert np.isclose(got[k], 1 / (1 + np.exp(logits[0] - logits[1])), atol=1e-4), k
+
+
+def test_training_bags_count_every_repetition():
+    ids, counts = quality.bag(b"the " * 70_000, 1 << 16)
+    assert counts.max() >= 70_000 and counts.sum() == 70_000 * 7 + 69_999
+
+
 def test_toxicity_on_planted_documents(spark):
     rng = random.Random(6)
     words = ["".join(rng.choice(["an", "er", "th", "ion", "re", "st"]) for _ in range(rng.randint(1, 4))) for _ in range(400)]
