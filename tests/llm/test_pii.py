@@ -2,6 +2,10 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
+
+import pyarrow.parquet as pq
+import pytest
 
 from loomgraph.llm import pii
 
@@ -65,7 +69,7 @@ def test_query_rows(spark):
 def test_boosting_on_held_out_candidates():
     model = pii.train_candidate_model()
     right = found = wanted = 0
-    for text, kind, good in pii._sentences(3000, seed=99):
+    for text, (_, _, kind), good in pii._sentences(3000, seed=99):
         spans = [s for s in pii.find_in_text(text, model)[1] if s[2] in pii.ADDED]
         wanted += good
         found += bool(spans)
@@ -115,3 +119,45 @@ def test_crowded_sentences_on_held_out_texts():
     right = sum(want in f for f, (_, want) in zip(found, texts, strict=True))
     print("right", right, "spans", sum(map(len, found)))
     assert right > 900 and right > 0.9 * sum(map(len, found))
+
+
+def test_no_kind_is_switched_off():
+    model = pii.train_candidate_model()
+    assert set(model.thresholds) == set(pii.ADDED) and all(0 < t < 1 for t in model.thresholds.values())
+    for text, kind in (("ssn: 123-45-6789", "identity"), ("call 555 123 4567", "local_phone"), ("x at y dot com", "hidden_email"), ("iban DE89 3704 0044 0532 0130 00", "iban")):
+        assert kind in [s[2] for s in pii.find_in_text(text, model)[1]], text
+    with pytest.raises(ValueError, match="no threshold"):
+        pii.train_candidate_model(n=400, precision=1.5)
+
+
+def test_recall_of_each_kind_planted_in_documents():
+    """Real documents with one value of a third source put between two words; the others get no span beyond what stands there."""
+    model, rng = pii.train_candidate_model(), random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def iban():
+        body = digits(18)
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    made = {
+        "hidden_email": lambda: (rng.choice(["contact ", "e-mail: ", "or "]), f"{rng.choice(['peter.h', 'r_diaz', 'kim'])}{rng.choice([' at firm dot net', '(at)firm.net', ' [at] shop [dot] fr', ' AT FIRM DOT NET'])}"),
+        "iban": lambda: (rng.choice(["", "account ", "IBAN: "]), iban()),
+        "identity": lambda: (rng.choice(["SSN ", "ssn: ", "security number "]), f"{digits(3)}-{digits(2)}-{digits(4)}"),
+        "local_phone": lambda: (rng.choice(["tel ", "Phone: ", "call "]), f"{digits(3)}-{digits(3)}-{digits(4)}"),
+    }
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist() if t]
+    wanted, found, other = Counter(), Counter(), 0
+    for k, text in enumerate(texts):
+        before = {text[s:e] for s, e, kind in pii.find_in_text(text, model)[1] if kind in pii.ADDED}
+        other += len(before)
+        kind = pii.ADDED[k % 4]
+        lead, value = made[kind]()
+        words = text.split(" ")
+        at = rng.randrange(len(words) + 1)
+        planted = " ".join([*words[:at], lead + value, *words[at:]])
+        start = len(" ".join(words[:at])) + bool(at) + len(lead)
+        wanted[kind] += 1
+        found[kind] += (start, start + len(value), kind) in pii.find_in_text(planted, model)[1]
+    print({kind: found[kind] / wanted[kind] for kind in pii.ADDED}, "others", other)
+    assert all(found[kind] >= 0.9 * wanted[kind] for kind in pii.ADDED)
+    assert other <= 0.01 * len(texts)
