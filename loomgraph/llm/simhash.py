@@ -5,8 +5,8 @@ word shingles (repeats included) have it set in their XXH64. Two fingerprints li
 in at most 3 bits; the classes are the connected components of these links.
 
 `similar_texts`: documents link if their sets of five-word shingles have a Jaccard similarity of 0.8 or
-more. Sets that similar differ in 15 % of their bits on average, so fingerprints have 300
-bits (five hashes, 60 bits of each), up to 67 of which may differ; whole sets confirm each link.
+more. Sets that similar differ in 15 % of their bits on average, so fingerprints have 512
+bits (eight hashes of 64), up to 115 of which may differ; whole sets confirm each link.
 
 Pigeonring: the bits are a ring of m segments. If two fingerprints differ in at most t bits, some
 segment i starts a chain in which any l consecutive segments together differ in at most
@@ -15,10 +15,10 @@ floor(l t / m) bits.
 * 64 bits: 4 segments of 16, budgets 0, 1, 2. Candidates share segment i and differ in at most one bit
   of segment i + 1: each fingerprint is filed under (i, segment i, segment i + 1), and looks also
   under the keys in which one set bit of segment i + 1 is cleared. No link is missed.
-* 300 bits: 15 segments of 20, budgets 4, 8, 13. Each fingerprint is filed under (i, segment i) and
-  looks also where one of the three bits of the segment that were decided most narrowly, or the
-  first and one of the others, are flipped: a similar text differs there first. This can miss links; recall against
-  brute force is measured in the tests and stated in the README.
+* 512 bits: 21 segments of 24, budgets 5, 10, 16. Each fingerprint is filed under (i, segment i) and
+  looks also where some of the four bits of the segment that were decided most narrowly are flipped
+  (PROBES): a similar text differs there first. This can miss links; recall against brute
+  force is measured in the tests and stated in the README.
 
 The chain of three is tested before the full distance. Links between fingerprints form loose
 classes; inside a loose class similar_texts() compares the sets of all pairs that pass the full distance
@@ -52,24 +52,23 @@ SMALL = 64
 
 
 class Ring:
-    """A fingerprint of `lanes` words, each of `each` segments of `width` bits, and its budget."""
+    """A fingerprint of `lanes` words as a ring of segments of `width` bits, from its highest bits on, and its budget."""
 
-    def __init__(self, lanes: int, each: int, width: int, budget: int):
-        self.lanes, self.each, self.width, self.budget = lanes, each, width, budget
-        self.segments = lanes * each
-        chains = np.zeros((self.segments, 3, lanes), np.uint64)
-        for i in range(self.segments):
+    def __init__(self, lanes: int, segments: int, width: int, budget: int):
+        self.lanes, self.segments, self.width, self.budget = lanes, segments, width, budget
+        chains = np.zeros((segments, 3, lanes * 64), np.uint8)
+        for i in range(segments):
             for step in range(3):
                 for k in range(step + 1):
-                    lane, bits = self.place(i + k)
-                    chains[i, step, lane] |= bits
+                    at = (segments - 1 - (i + k) % segments) * width
+                    chains[i, step, at : at + width] = 1
         #: Bits of the first one, two and three segments from each on, and their budgets.
-        self.chains, self.budgets = chains, [budget * k // self.segments for k in (1, 2, 3)]
+        self.chains = np.packbits(chains, axis=2, bitorder="little").view("<u8")
+        self.budgets = [budget * k // segments for k in (1, 2, 3)]
 
-    def place(self, segment: int) -> tuple[int, np.uint64]:
-        """The lane of a segment and its bits there; the ring runs from high to low bits of each lane."""
-        lane, at = divmod(segment % self.segments, self.each)
-        return lane, np.uint64(((1 << self.width) - 1) << self.width * (self.each - 1 - at))
+    def cut(self, bits: np.ndarray) -> np.ndarray:
+        """Rows of lanes * 64 values, lowest bit first, as (rows, segments, width)."""
+        return bits[:, : self.segments * self.width].reshape(-1, self.segments, self.width)[:, ::-1]
 
     def near(self, start, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which rows of a and b pass the chain from segment `start` and then the full distance."""
@@ -83,9 +82,9 @@ class Ring:
 
 
 NARROW = Ring(1, 4, 16, 3)
-WIDE = Ring(5, 3, 20, 67)
+WIDE = Ring(8, 21, 24, 115)
 #: Sets of positions, in order of margin, whose flips are looked under.
-PROBES = ((0,), (1,), (2,), (0, 1), (0, 2))
+PROBES = ((0,), (1,), (2,), (3,), (0, 1), (0, 2))
 
 
 def _bit_counts(hashes: np.ndarray) -> np.ndarray:
@@ -128,7 +127,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id"
 
 
 def _ring_keys(fps: DataFrame) -> DataFrame:
-    """key, own, f0: the places where a 64-bit fingerprint is filed (own) or looks."""
+    """key, own, id (the fingerprint): the places where a 64-bit fingerprint is filed (own) or looks."""
 
     def run(batches):
         for batch in batches:
@@ -145,9 +144,9 @@ def _ring_keys(fps: DataFrame) -> DataFrame:
                     keys.append(key[has] ^ np.uint64(1 << bit))
                     who.append(fp[has])
                     own.append(np.zeros(int(has.sum()), bool))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(own)), pa.array(np.concatenate(who).view(np.int64))], ["key", "own", "f0"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(own)), pa.array(np.concatenate(who).view(np.int64))], ["key", "own", "id"])
 
-    return fps.mapInArrow(run, "key bigint, own boolean, f0 bigint")
+    return fps.mapInArrow(run, "key bigint, own boolean, id bigint")
 
 
 class _Forest:
@@ -177,7 +176,7 @@ class _Forest:
         return pa.RecordBatch.from_arrays([pa.array([e[k] for e in self.links], pa.int64()) for k in (0, 1)], ["src", "dst"])
 
 
-def _compare_small(ring: Ring, forest: _Forest, start: np.ndarray, bounds: np.ndarray, own: np.ndarray, fps: np.ndarray) -> None:
+def _compare_small(ring: Ring, forest: _Forest, start: np.ndarray, bounds: np.ndarray, own: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> None:
     """All pairs inside many small groups: neighbours at each offset, all groups at once."""
     ends = np.repeat(bounds[1:], np.diff(bounds))
     at = np.arange(len(own))
@@ -185,41 +184,42 @@ def _compare_small(ring: Ring, forest: _Forest, start: np.ndarray, bounds: np.nd
     while len(at := at[at + offset < ends[at]]):
         pairs = at[own[at] | own[at + offset]]
         pairs = pairs[ring.near(start[pairs], fps[pairs], fps[pairs + offset])]
-        for x, y in zip(fps[pairs, 0].view(np.int64).tolist(), fps[pairs + offset, 0].view(np.int64).tolist(), strict=True):
+        for x, y in zip(ids[pairs].tolist(), ids[pairs + offset].tolist(), strict=True):
             forest.add(x, y)
         offset += 1
 
 
-def _compare_large(ring: Ring, forest: _Forest, start: int, left: np.ndarray, right: np.ndarray) -> None:
+def _compare_large(ring: Ring, forest: _Forest, start: int, left: np.ndarray, right: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> None:
     """Each row of left with all of right that are in other classes still."""
     if not len(left) or not len(right):
         return
-    names = right[:, 0].view(np.int64)
-    label = np.array([forest.find(x) for x in names.tolist()])
-    for a in left:
-        name = int(a[:1].view(np.int64)[0])
+    label, theirs = np.array([forest.find(x) for x in ids[right].tolist()]), fps[right]
+    for row in left.tolist():
+        name = int(ids[row])
         own = forest.find(name)
         other = np.flatnonzero(label != own)
-        near = other[ring.near(start, a[None, :], right[other])]
+        near = other[ring.near(start, fps[row : row + 1], theirs[other])]
         _, first = np.unique(label[near], return_index=True)
         for k in near[first].tolist():
-            if forest.add(name, int(names[k])):
+            if forest.add(name, int(ids[right[k]])):
                 old, new = label[k], forest.find(name)
                 label[(label == old) | (label == own)] = new
                 own = new
 
 
-def _links(keys: DataFrame, block: int, ring: Ring) -> DataFrame:
-    """(src, dst): links of fingerprints, by their first words, that suffice for the components.
+def _links(keys: DataFrame, block: int, ring: Ring, fps: DataFrame | None = None) -> DataFrame:
+    """(src, dst): links of ids that suffice for the components.
 
-    keys: key (the start of the chain above ring.width or 32 bits), own, f0 ... of each lane.
+    keys: key (the start of the chain above ring.width or 32 bits), own, id; fps: id, f0 ... of each
+    lane; without it the id is the fingerprint.
     """
     lanes = [f"f{k}" for k in range(ring.lanes)]
-    shift = 32 if ring.lanes == 1 else ring.width
+    shift = 32 if fps is None else ring.width
     counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any_own")).where("n > 1 and any_own").select("key", "n")
     live = keys.join(counts, "key")
+    live = live.withColumn("f0", F.col("id")) if fps is None else live.join(fps, "id")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    live = live.select("key", "own", *lanes, blocks.alias("nb"), F.pmod(F.xxhash64(*lanes), blocks).cast("int").alias("c"))
+    live = live.select("key", "own", "id", *lanes, blocks.alias("nb"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("c"))
     # Role 0: on both sides of its block; 1: left; 2: right. Own rows meet own rows once.
     placed = F.expr("""
         case when nb = 1 then array(named_struct('a', 0, 'b', 0, 'role', if(own, 0, 2)))
@@ -227,30 +227,30 @@ def _links(keys: DataFrame, block: int, ring: Ring) -> DataFrame:
              else transform(sequence(0, nb - 1), j -> named_struct('a', j, 'b', c, 'role', 2)) end""")
     # An own row is also on the left of the blocks below it, where only looking rows stand right.
     extra = F.expr("if(nb > 1 and own and c > 0, transform(sequence(0, c - 1), j -> named_struct('a', c, 'b', j, 'role', 1)), array())")
-    dealt = live.select("key", "own", *lanes, F.explode(F.concat(placed, extra)).alias("p")).select("key", "p.a", "p.b", "p.role", "own", *lanes)
+    dealt = live.select("key", "own", "id", *lanes, F.explode(F.concat(placed, extra)).alias("p")).select("key", "p.a", "p.b", "p.role", "own", "id", *lanes)
 
     def run(batches):
         held = None  # rows of the last group, which may go on
 
         def links(rows) -> _Forest:
-            key, a, b, role, own, fps = rows
+            key, a, b, role, own, ids, fps = rows
             forest, start = _Forest(), key >> shift
             change = np.flatnonzero((np.diff(key) != 0) | (np.diff(a) != 0) | (np.diff(b) != 0)) + 1
             bounds = np.array([0, *change.tolist(), len(key)])
             sizes = np.diff(bounds)
             alone = (sizes <= SMALL) & (a[bounds[:-1]] == b[bounds[:-1]])
             few = np.repeat(alone, sizes)
-            _compare_small(ring, forest, start[few], np.concatenate([[0], np.cumsum(sizes[alone])]), own[few], fps[few])
+            _compare_small(ring, forest, start[few], np.concatenate([[0], np.cumsum(sizes[alone])]), own[few], ids[few], fps[few])
             for x, y in zip(bounds[:-1][~alone].tolist(), bounds[1:][~alone].tolist(), strict=True):
                 right = role[x:y] != 1 if a[x] <= b[x] else (role[x:y] == 2) & ~own[x:y]
-                _compare_large(ring, forest, int(start[x]), fps[x:y][role[x:y] <= 1], fps[x:y][right])
+                _compare_large(ring, forest, int(start[x]), x + np.flatnonzero(role[x:y] <= 1), x + np.flatnonzero(right), ids, fps)
             return forest
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5 + ring.lanes)]
-            rows = [*columns[:5], np.stack([c.view(np.uint64) for c in columns[5:]], axis=1)]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6 + ring.lanes)]
+            rows = [*columns[:6], np.stack([c.view(np.uint64) for c in columns[6:]], axis=1)]
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             key, a, b = rows[:3]
@@ -310,14 +310,11 @@ def shingle_set(text: bytes | None, words: int = 5) -> np.ndarray:
 
 
 def wide_fingerprint(shingles: np.ndarray, ring: Ring = WIDE) -> tuple[np.ndarray, np.ndarray]:
-    """The lanes of a set's fingerprint; the positions of the three narrowest bits of each segment."""
-    used = ring.each * ring.width
-    counts = np.stack([_bit_counts(_mixed(shingles + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))))[:used] for lane in range(ring.lanes)])
-    bits = np.zeros((ring.lanes, 64), np.uint8)
-    bits[:, :used] = 2 * counts > len(shingles)
-    margin = np.abs(2 * counts - len(shingles)).reshape(ring.lanes, ring.each, ring.width)[:, ::-1].reshape(ring.segments, ring.width)
-    weak = np.argsort(margin, axis=1, kind="stable")[:, :3].astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0], weak
+    """The lanes of a set's fingerprint; the positions of the four narrowest bits of each segment."""
+    counts = np.concatenate([_bit_counts(_mixed(shingles + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64)))) for lane in range(ring.lanes)])
+    margin = ring.cut(np.abs(2 * counts - len(shingles))[None, :])[0]
+    weak = np.argsort(margin, axis=1, kind="stable")[:, :4].astype(np.uint8)
+    return np.packbits((2 * counts > len(shingles)).astype(np.uint8), bitorder="little").view("<u8"), weak
 
 
 def row_hashes(docs: DataFrame) -> list[Column]:
@@ -360,34 +357,32 @@ def _marked(docs: DataFrame, rank: Column, text_col: str, words: int, ring: Ring
 
 
 def _probe_keys(reps: DataFrame, ring: Ring) -> DataFrame:
-    """key, own, f0 ...: where fingerprints (f0 ..., weak) are filed or look."""
+    """key, own, id: where the fingerprints of reps (key, f0 ..., weak) are filed or look."""
     lanes = [f"f{k}" for k in range(ring.lanes)]
 
     def run(batches):
         for batch in batches:
-            fps = np.stack([batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in range(ring.lanes)], axis=1)
-            weak = np.frombuffer(b"".join(batch.column(ring.lanes).to_pylist()), np.uint8).reshape(-1, ring.segments, 3)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            fps = np.stack([batch.column(1 + k).to_numpy(zero_copy_only=False) for k in range(ring.lanes)], axis=1)
+            values = ring.cut(np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")) @ (1 << np.arange(ring.width))
+            weak = np.frombuffer(b"".join(batch.column(1 + ring.lanes).to_pylist()), np.uint8).reshape(-1, ring.segments, 4)
             for i in range(ring.segments):
-                lane, bits = ring.place(i)
-                low = np.uint64((int(bits) & -int(bits)).bit_length() - 1)
-                value = (fps[:, lane] & bits) >> low
-                flips = np.uint64(1) << weak[:, i].astype(np.uint64)
-                looked = [value, *(value ^ np.bitwise_or.reduce(flips[:, list(p)], axis=1) for p in PROBES)]
-                keys = np.concatenate(looked) | np.uint64(i << ring.width)
+                flips = 1 << weak[:, i].astype(np.int64)
+                looked = [values[:, i], *(values[:, i] ^ np.bitwise_or.reduce(flips[:, list(p)], axis=1) for p in PROBES)]
+                keys = np.concatenate(looked) | i << ring.width
                 own = np.zeros(len(keys), bool)
-                own[: len(value)] = True
-                who = np.concatenate([fps] * len(looked)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(own), *(pa.array(c) for c in who.T)], ["key", "own", *lanes])
+                own[: len(ids)] = True
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own), pa.array(np.tile(ids, len(looked)))], ["key", "own", "id"])
 
-    return reps.select(*lanes, "weak").mapInArrow(run, f"key bigint, own boolean, {', '.join(f'{c} bigint' for c in lanes)}")
+    return reps.select("key", *lanes, "weak").mapInArrow(run, "key bigint, own boolean, id bigint")
 
 
 def _confirmed(docs: DataFrame, reps: DataFrame, loose: DataFrame, least: tuple[int, int], text_col: str, words: int, ring: Ring, block_shingles: int) -> DataFrame:
     """(src, dst): keys of sets in the same loose class that are similar enough; a forest that suffices."""
     num, den = least
     lanes = [f"f{k}" for k in range(ring.lanes)]
-    mates = reps.where("n > 0").join(loose.withColumnRenamed("node", "f0"), "f0", "left").withColumn("part", F.coalesce("component", "f0"))
-    sizes = mates.groupBy("part").agg(F.count("*").alias("c"), F.sum("n").alias("total")).where("c > 1")
+    mates = reps.join(loose.withColumnRenamed("node", "key").withColumnRenamed("component", "part"), "key")
+    sizes = mates.groupBy("part").agg(F.sum("n").alias("total"))
     nb = F.ceil(F.col("total") / block_shingles).cast("int")
     dealt = mates.join(sizes, "part").select("part", "key", "n", "best.r1", "best.r2", *lanes, nb.alias("nb"), F.pmod(F.col("key"), nb).cast("int").alias("c"))
 
@@ -458,8 +453,8 @@ def similar_texts(docs: DataFrame, rank: Column, words: int = 5, least: tuple[in
     lanes = [f"f{k}" for k in range(ring.lanes)]
     marked = cut(_marked(docs, rank, text_col, words, ring))
     reps = cut(marked.groupBy("key", "n").agg(F.min(F.struct("rank", "r1", "r2")).alias("best"), *(F.min(c).alias(c) for c in lanes), F.min("weak").alias("weak")))
-    fps = reps.where("n > 0").groupBy(*lanes).agg(F.min("weak").alias("weak"))
-    loose = connected_components(_links(_probe_keys(fps, ring), block, ring))
+    filled = reps.where("n > 0")
+    loose = connected_components(_links(_probe_keys(filled, ring), block, ring, filled.select(F.col("key").alias("id"), *lanes)))
     links = _confirmed(docs, reps, loose, least, text_col, words, ring, block_shingles)
     parts = connected_components(links).withColumnRenamed("node", "key")
     members = cut(reps.select("key", "best").join(parts, "key", "left").select("key", "best", F.coalesce("component", "key").alias("part")))
