@@ -47,3 +47,23 @@ def test_whole_small_table(spark):
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0")).collect()))
     assert got == brute(rows, lambda i: i % 50 == 0)
+
+
+def test_only_survivors_are_resolved(spark):
+    """The cutoff leaves a small part of all pairs, and among them every result."""
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(64)]) for i in range(1500)] + [(i, [0.25] * 64) for i in range(2000, 2600)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], VEC)
+    v = topk.cut(topk.entries_of(topk._usable(df, "vec_id", "embedding"), 5))
+    q = topk.cut(topk._usable(df.where("vec_id % 7 = 0"), "vec_id", "embedding").groupBy("vec_id").agg(topk.F.min("x").alias("x")).withColumnRenamed("vec_id", "query_id"))
+    assert v.count() == 1501 and max(len(r.ids) for r in v.collect()) == 6  # equal vectors are one entry
+    want = brute(rows, lambda i: i % 7 == 0)
+    cutoffs = spark.createDataFrame([(a, s) for a, r, _, s in want if r == 5], "query_id bigint, cutoff bigint")
+    shape = (5, 2, 64, 256.0, 4096, 16384)
+    left = topk.survivors(v, q, cutoffs, *shape)
+    pairs = q.count() * v.count()
+    assert left.count() < 0.1 * pairs
+    found = {(r.query_id, r.vec_id): r.score for r in topk.resolved(left, v, q, 64, 256.0).collect()}
+    assert all(found[a, i] == s for a, _, i, s in want)
+    first = topk.survivors(v, q, None, *shape)
+    assert first.count() <= q.count() * 2 * 6
