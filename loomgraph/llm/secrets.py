@@ -13,8 +13,13 @@ tokens of letters and digits; those left look random and are admitted. So of the
 as patterned about a share of q is random at most; copies count once, and a token needs
 no others beside it. Added spans never overlap base spans.
 
-Positions are code points. A null text counts as empty. Each row of the documents gives one
-row; empty tables give empty tables. Nothing is shuffled but hashes of the tokens.
+The p-values are asymptotic: of 8,000 tokens drawn at random, 20 to 64 characters long, 7 to 8 % fall
+below 0.05.
+
+Positions are code points. A null text counts as empty; texts of any length are searched whole, and
+each admitted token is compared with the base spans of its text. Each row of the documents gives one row, repeated rows one each;
+empty tables give empty tables; columns other than the id and the text are not read. Nothing
+is shuffled but hashes of the tokens.
 """
 
 from __future__ import annotations

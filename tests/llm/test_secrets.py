@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import string
@@ -66,6 +67,54 @@ def test_random_tokens_are_added(spark):
     assert sum(k % 3 != 0 for k in found) <= 5
 
 
+ALPHABETS = [string.digits, string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_lowercase, string.ascii_uppercase, string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, string.ascii_uppercase + string.ascii_lowercase, string.ascii_uppercase + string.ascii_lowercase + string.digits, string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"]
+
+
+def plain_score(token):
+    """-ln of the p-value by Fisher's method of three tests in the least alphabet, with exact normal tails."""
+    signs = next((a for a in ALPHABETS if set(token) <= set(a)), string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_+/")
+    n, k, x = len(token), len(signs), [signs.index(c) for c in token]
+    tail = lambda z: max(1e-30, math.erfc(z / math.sqrt(2)) / 2)
+    squares = sum(x.count(v) ** 2 for v in set(x))
+    chi = (k * squares / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))
+    upper = [v >= k / 2 for v in x]
+    expected = 2 * sum(upper) * (n - sum(upper)) / n + 1
+    runs = 1 + sum(a != b for a, b in zip(upper, upper[1:], strict=False))
+    rz = 10 if expected <= 2 else abs(runs - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1))
+    mean = sum(x) / n
+    spread = sum((v - mean) ** 2 for v in x)
+    sz = 10 if not spread else abs(n * sum((a - mean) * (b - mean) for a, b in zip(x, x[1:], strict=False)) / spread + 1) / math.sqrt(n)
+    f = -(math.log(tail(chi)) + math.log(min(1, 2 * tail(rz))) + math.log(min(1, 2 * tail(sz))))
+    return f - math.log(1 + f + f * f / 2)
+
+
+def test_added_spans_against_plain_code(spark):
+    """The battery, the rule of Benjamini and Hochberg in each length class and the overlaps, again in Python."""
+    rng = random.Random(21)
+    token = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    made_ = [token(rng.choice([20, 24, 30, 44, 70])) for _ in range(150)] + ["aaaa1111" * 4, "abcabc123" * 5, "x1" * 30, "v2-of-the-file-with-notes", "path/to/the/page/number/2024/index", "ABCDEFGHIJKLMNOPQRSTU1"] * 3
+    rng.shuffle(made_)
+    texts = [f"{a} and {b}, token={c}" for a, b, c in zip(made_[::3], made_[1::3], made_[2::3], strict=False)] + ["", None]
+    got = {r.doc_id: r.spans for r in secrets.secret_digests(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    tokens = {m[0] for t in texts for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t or "") if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])}
+    of = lambda t: max(k for k, least in enumerate(secrets.CLASSES) if len(t) >= least)
+    admitted, near = set(), set()
+    for k in range(len(secrets.CLASSES)):
+        own = sorted((min(200, math.floor(plain_score(t) * 4)), t) for t in tokens if of(t) == k)
+        cut = min((b for b in range(201) if any(c >= b for c, _ in own) and math.exp(-b / 4) * len(own) / sum(c >= b for c, _ in own) <= 0.05), default=201)
+        admitted |= {t for c, t in own if c < cut}
+        near |= {t for c, t in own if abs(c - cut) <= 1}  # the tails of the query are approximate
+    sure = 0
+    for k, text in enumerate(texts):
+        base = brute(text)
+        want = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text or "") if m[0] in admitted and not any(s < m.end() and m.start() < e for _, s, e in base)]
+        found = [tuple(map(int, x.split(":")[1:])) for x in got[k].split(",") if x.startswith("random")]
+        if not any(m[0] in near for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text or "")):
+            assert found == [w[:2] for w in want], text
+            sure += len(found)
+    assert sure > 60
+
+
 def test_no_python_in_the_plan(spark):
     df = secrets.secret_digests(spark.createDataFrame([(1, "x")], DOCS))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
