@@ -171,7 +171,7 @@ def validate_counts(spark: SparkSession, sf: str) -> DataFrame:
     return extraction.parse_metrics(parsed(spark, sf))
 
 
-@query(f"SELECT doc_id, chunk_id, stage, parse_status, CASE WHEN status <> 'SUCCESS' THEN 'source_not_success' WHEN l_orderkey % 7 = 0 THEN 'invalid_json' ELSE 'missing_field' END AS error_code, coalesce(response_text, '') AS response_excerpt FROM ({_KIND}) WHERE parse_status <> 'VALID'")
+@query(f"SELECT doc_id, chunk_id, stage, parse_status, CASE WHEN status <> 'SUCCESS' THEN 'source_not_success' WHEN l_orderkey % 7 = 0 THEN 'invalid_json' WHEN stage = 'event_entity' THEN 'invalid_entities' ELSE 'missing_field' END AS error_code, coalesce(response_text, '') AS response_excerpt FROM ({_KIND}) WHERE parse_status <> 'VALID'")
 def extraction_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return extraction.rejects(parsed(spark, sf))
 
@@ -192,15 +192,16 @@ def structured(spark: SparkSession, sf: str) -> DataFrame:
 
 
 #: One valid response for each chunk and stage.
-CHOSEN = f"SELECT doc_id, chunk_id, stage, arg_min(l_partkey, request_id) AS partkey, arg_min(l_returnflag, request_id) AS flag FROM ({_KIND}) WHERE parse_status = 'VALID' GROUP BY ALL"
+CHOSEN = f"SELECT doc_id, chunk_id, stage, arg_min(l_partkey, request_id) AS partkey, arg_min(l_returnflag, request_id) AS flag, arg_min(l_suppkey, request_id) AS suppkey FROM ({_KIND}) WHERE parse_status = 'VALID' GROUP BY ALL"
 
 
 @query(f"""SELECT doc_id, chunk_id, concat(' text ', doc_id, '/', CAST(chunk_id AS STRING)) AS original_text, count(*) AS n_stages,
  coalesce(max(CASE WHEN stage = 'entity_relation' THEN concat('p', CAST(partkey AS STRING)) END), '') AS entity_head, coalesce(max(CASE WHEN stage = 'event_relation' THEN concat('p', CAST(partkey AS STRING)) END), '') AS event_head,
- CAST(0 AS INTEGER) AS events FROM ({CHOSEN}) GROUP BY doc_id, chunk_id""")
+ CAST(count(*) FILTER (stage = 'event_entity') AS INTEGER) AS events, coalesce(max(CASE WHEN stage = 'event_entity' THEN concat('p', CAST(partkey AS STRING), ' sold:', flag, ',s', CAST(suppkey AS STRING)) END), '') AS event FROM ({CHOSEN}) GROUP BY doc_id, chunk_id""")
 def structured_pivot(spark: SparkSession, sf: str) -> DataFrame:
     head = lambda s: F.coalesce(F.get(F.col(s), F.lit(0))["Head"], F.lit(""))
-    return structured(spark, sf).select("doc_id", "chunk_id", "original_text", "n_stages", head("entity_relation").alias("entity_head"), head("event_relation").alias("event_head"), F.size("event_entity").alias("events"))
+    event = F.array_join(F.transform("event_entity", lambda e: F.concat(e["Event"], F.lit(":"), F.array_join(e["Entity"], ","))), ";")
+    return structured(spark, sf).select("doc_id", "chunk_id", "original_text", "n_stages", head("entity_relation").alias("entity_head"), head("event_relation").alias("event_head"), F.size("event_entity").alias("events"), event.alias("event"))
 
 
 _CONCEPT_TEXT = """CASE WHEN p_partkey % 5 = 0 THEN concat('{"concepts": ["', p_brand, '", " ', p_type, '  x", "", "', p_brand, '"]}')

@@ -47,16 +47,24 @@ def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TRANSITIONS = f"SELECT concat('u', CAST(user_id AS STRING)) AS src, concat('u', CAST(nxt AS STRING)) AS dst, event_type AS relation, event_id FROM (SELECT user_id, event_id, event_type, {_NEXT} FROM events) WHERE nxt IS NOT NULL"
 
-_TEXT = """CASE WHEN l_orderkey % 11 = 0 OR l_orderkey % 13 = 0 THEN NULL
+_STAGE = "CASE l_linenumber % 3 WHEN 0 THEN 'event_entity' WHEN 1 THEN 'entity_relation' ELSE 'event_relation' END"
+#: Items as text: a triple, or an event with its entities (the flag twice).
+_ITEM = """CASE WHEN l_linenumber % 3 = 0 THEN concat('{"Event":" p', CAST(l_partkey AS STRING), '  sold ","Entity":["', l_returnflag, '","s', CAST(l_suppkey AS STRING), '"," ', l_returnflag, ' "]}')
+ ELSE concat('{"Head":"p', CAST(l_partkey AS STRING), '","Relation":" has  flag ","Tail":"', l_returnflag, '"}') END"""
+_BAD_ITEM = """CASE WHEN l_linenumber % 3 = 0 THEN concat('{"Event":"p', CAST(l_partkey AS STRING), '","Entity":[]}')
+ ELSE concat('{"Head":"p', CAST(l_partkey AS STRING), '","Relation":" ","Tail":"', l_returnflag, '"}') END"""
+_TEXT = f"""CASE WHEN l_orderkey % 11 = 0 OR l_orderkey % 13 = 0 THEN NULL
  WHEN l_orderkey % 7 = 0 THEN 'not json'
- WHEN l_orderkey % 5 = 0 THEN concat('```json', chr(10), '[{"Head":"p', CAST(l_partkey AS STRING), '","Relation":" has  flag ","Tail":"', l_returnflag, '"},]', chr(10), '```')
- WHEN l_orderkey % 17 = 0 THEN concat('[{"Head":"p', CAST(l_partkey AS STRING), '","Relation":" ","Tail":"', l_returnflag, '"}]')
- ELSE concat('[{"Head":"p', CAST(l_partkey AS STRING), '","Relation":"has flag","Tail":"', l_returnflag, '"}]') END"""
+ WHEN l_orderkey % 5 = 0 THEN concat('```json', chr(10), '[', {_ITEM}, ',]', chr(10), '```')
+ WHEN l_orderkey % 17 = 0 THEN concat('[', {_BAD_ITEM}, ']')
+ WHEN l_orderkey % 19 = 0 THEN concat('{{"', {_STAGE}, '": [', {_ITEM}, ']}}')
+ WHEN l_orderkey % 23 = 0 THEN concat('Here it is: [', {_ITEM}, '] as asked.')
+ ELSE concat('[', {_ITEM}, ']') END"""
 _RESPONSES = [
-    "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', l_returnflag) AS request_id",
+    "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', l_returnflag, '-', CAST(l_suppkey AS STRING)) AS request_id",
     "CAST(l_orderkey AS STRING) AS doc_id",
-    "CAST(floor((l_linenumber - 1) / 2) AS INT) AS chunk_id",
-    "CASE WHEN l_linenumber % 2 = 0 THEN 'event_relation' ELSE 'entity_relation' END AS stage",
+    "CAST(floor((l_linenumber - 1) / 3) AS INT) AS chunk_id",
+    f"{_STAGE} AS stage",
     "CASE WHEN l_orderkey % 11 = 0 THEN 'TIMEOUT' WHEN l_orderkey % 13 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
     f"{_TEXT} AS response_text",
     "concat('{\"prompt_tokens\":', CAST(l_partkey % 100 AS STRING), ',\"completion_tokens\":7,\"total_tokens\":', CAST(l_partkey % 100 + 7 AS STRING), '}') AS usage_json",
@@ -65,10 +73,10 @@ _RESPONSES = [
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model response for each order line; the outcome follows from the keys."""
-    return table(spark, sf_dir, "lineitem").selectExpr(*_RESPONSES, "l_partkey", "l_returnflag", "l_orderkey")
+    return table(spark, sf_dir, "lineitem").selectExpr(*_RESPONSES, "l_partkey", "l_returnflag", "l_orderkey", "l_suppkey")
 
 
-RESPONSES = f"SELECT {', '.join(_RESPONSES)}, l_partkey, l_returnflag, l_orderkey FROM lineitem"
+RESPONSES = f"SELECT {', '.join(_RESPONSES)}, l_partkey, l_returnflag, l_orderkey, l_suppkey FROM lineitem"
 #: The outcome of a response by its keys.
 OUTCOME = """CASE WHEN status <> 'SUCCESS' THEN concat('SOURCE_', status) WHEN l_orderkey % 7 = 0 THEN 'INVALID'
  WHEN l_orderkey % 5 = 0 THEN 'VALID' WHEN l_orderkey % 17 = 0 THEN 'INVALID' ELSE 'VALID' END"""

@@ -26,8 +26,13 @@ def query(sql: str | None = None):
 
 # --- base tables from validated responses
 
-_EDGES = f"SELECT DISTINCT concat('p', CAST(partkey AS STRING)) AS src, flag AS dst, 'has flag' AS relation, stage AS edge_type, doc_id AS source_doc_id, chunk_id AS source_chunk_id FROM ({dq.CHOSEN})"
-_NODES = f"SELECT DISTINCT n AS node_name, CASE WHEN edge_type = 'entity_relation' THEN 'entity' ELSE 'event' END AS node_type FROM (SELECT src AS n, edge_type FROM ({_EDGES}) UNION ALL SELECT dst, edge_type FROM ({_EDGES}))"
+_KEY = "stage AS edge_type, doc_id AS source_doc_id, chunk_id AS source_chunk_id"
+_SOLD = "concat('p', CAST(partkey AS STRING), ' sold')"
+_EDGES = f"""SELECT DISTINCT concat('p', CAST(partkey AS STRING)) AS src, flag AS dst, 'has flag' AS relation, {_KEY} FROM ({dq.CHOSEN}) WHERE stage <> 'event_entity'
+ UNION SELECT {_SOLD}, flag, 'is participated by', {_KEY} FROM ({dq.CHOSEN}) WHERE stage = 'event_entity'
+ UNION SELECT {_SOLD}, concat('s', CAST(suppkey AS STRING)), 'is participated by', {_KEY} FROM ({dq.CHOSEN}) WHERE stage = 'event_entity'"""
+_NODES = f"""SELECT DISTINCT n AS node_name, t AS node_type FROM (SELECT src AS n, CASE WHEN edge_type = 'entity_relation' THEN 'entity' ELSE 'event' END AS t FROM ({_EDGES})
+ UNION ALL SELECT dst, CASE WHEN edge_type = 'event_relation' THEN 'event' ELSE 'entity' END FROM ({_EDGES}))"""
 
 
 @query(f"SELECT * FROM ({_EDGES})")
