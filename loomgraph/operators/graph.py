@@ -6,7 +6,7 @@ lineage with checkpoint() in the shared folder; nothing but counts comes to the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.operators.components import connected_components
@@ -38,6 +38,26 @@ def top_by(df: DataFrame, metric: str, n: int, name: str = "id") -> DataFrame:
     return df.orderBy(F.desc(metric), name).limit(n)
 
 
+def degree_summary(edges: DataFrame) -> DataFrame:
+    """One row: nodes, degree_max, degree_avg, and by position in the descending order degree_median (n // 2),
+    degree_p95 (5 % of n, rounded down) and degree_p99 (1 %); max_in_degree, max_out_degree.
+
+    Positions come from the counts of the distinct degrees, which are few; degrees are not sorted.
+    """
+    d = degrees(edges)
+    table = d.groupBy("degree").agg(F.count("*").alias("n"), F.max("in_degree").alias("i"), F.max("out_degree").alias("o"))
+    first = F.sum("n").over(Window.orderBy(F.desc("degree")).rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("n").over(Window.partitionBy())
+    ranked = table.select("degree", "n", "i", "o", first.alias("upto"), total.alias("nodes"))
+    at = lambda position: F.max(F.when(F.col("upto") > position, F.col("degree")))
+    n = F.col("nodes")
+    return ranked.agg(
+        F.max("nodes").cast("bigint").alias("nodes"), F.max("degree").alias("degree_max"), F.round(F.sum(F.col("degree") * F.col("n")) / F.max("nodes"), 2).alias("degree_avg"),
+        at(F.floor(n / 2)).alias("degree_median"), at(F.floor(n * 0.05)).alias("degree_p95"), at(F.floor(n * 0.01)).alias("degree_p99"),
+        F.max("i").alias("max_in_degree"), F.max("o").alias("max_out_degree"),
+    )
+
+
 def degree_histogram(edges: DataFrame) -> DataFrame:
     return degrees(edges).groupBy("degree").agg(F.count("*").alias("nodes"))
 
@@ -137,6 +157,39 @@ def clustering(edges: DataFrame) -> DataFrame:
     return triangles(edges).withColumn("coefficient", F.when(F.col("degree") > 1, 2 * F.col("triangles") / (d * (d - 1))).otherwise(0.0))
 
 
+def average_clustering(edges: DataFrame) -> DataFrame:
+    """One row: avg_clustering_coefficient over all nodes (0 for those without two neighbours)."""
+    total = clustering(edges).agg(F.sum("coefficient").alias("s"))
+    nodes = vertices(edges).agg(F.count("*").alias("n"))
+    return total.crossJoin(nodes).select(F.round(F.try_divide(F.coalesce("s", F.lit(0.0)), F.col("n").cast("double")), 6).alias("avg_clustering_coefficient"))  # one row each
+
+
+def top_pagerank(edges: DataFrame, n: int, iterations: int = 20) -> DataFrame:
+    """id, rank (rounded to 6 digits) of the n nodes of the highest rank, ties to the least id."""
+    return cut(top_by(pagerank(edges, iterations).select("id", F.round("rank", 6).alias("rank")), "rank", n))
+
+
+def communities(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """id, label: label propagation on the simple undirected graph until every node has a most frequent label of its neighbours.
+
+    Nodes are dealt by a hash into two halves that move in turn, so that neighbours don't swap labels for
+    ever; a node keeps its label while that is among the most frequent, else it takes the greatest of
+    these. Raises an error if max_rounds rounds don't settle it.
+    """
+    near = cut(undirected(edges).select(F.expr("explode(array(named_struct('id', a, 'other', b), named_struct('id', b, 'other', a)))").alias("e")).select("e.*"))
+    labels = cut(vertices(edges).withColumn("label", F.col("id")))
+    for k in range(max_rounds):
+        votes = near.join(labels.select(F.col("id").alias("other"), F.col("label").alias("vote")), "other").groupBy("id", "vote").agg(F.count("*").alias("n"))
+        best = votes.groupBy("id").agg(F.max("n").alias("most"), F.max_by("vote", F.struct("n", "vote")).alias("wanted"))
+        own = votes.select("id", F.col("vote").alias("label"), F.col("n").alias("kept"))
+        state = cut(labels.join(best, "id", "left").join(own, ["id", "label"], "left").select("id", "label", "wanted", (F.col("most") > F.coalesce("kept", F.lit(0))).alias("moves")))
+        if state.where("moves").isEmpty():
+            return labels
+        turn = F.pmod(F.xxhash64("id", F.lit(k // 2)), F.lit(2)) == k % 2
+        labels = cut(state.select("id", F.when(F.col("moves") & turn, F.col("wanted")).otherwise(F.col("label")).alias("label")))
+    raise RuntimeError(f"labels did not settle in {max_rounds} rounds")
+
+
 def label_propagation(edges: DataFrame, iterations: int = 5) -> DataFrame:
     """id, label: synchronous; the most frequent label of the neighbours (parallel edges count), ties to the least."""
     near = cut(edges.select(F.expr("explode(array(named_struct('id', src, 'other', dst), named_struct('id', dst, 'other', src)))").alias("e")).select("e.*").groupBy("id", "other").agg(F.count("*").alias("w")))
@@ -148,7 +201,7 @@ def label_propagation(edges: DataFrame, iterations: int = 5) -> DataFrame:
 
 
 def distances(edges: DataFrame, sources: DataFrame, directed: bool = True, max_depth: int = 10_000) -> DataFrame:
-    """source, id, dist: fewest hops from each source (column id) along the edges, by frontiers."""
+    """source, id, dist: fewest hops from each source (column id) along the edges, by frontiers. Raises an error beyond max_depth."""
     links = edges.select("src", "dst").distinct()
     if not directed:
         links = links.union(links.select("dst", "src")).distinct()
@@ -159,9 +212,9 @@ def distances(edges: DataFrame, sources: DataFrame, directed: bool = True, max_d
         reached = frontier.join(links, F.col("id") == F.col("src")).select("source", F.col("dst").alias("id")).distinct()
         frontier = cut(reached.join(seen.select("source", "id"), ["source", "id"], "left_anti").withColumn("dist", F.lit(depth)))
         if frontier.isEmpty():
-            break
+            return seen
         seen = cut(seen.unionByName(frontier))
-    return seen
+    raise RuntimeError(f"some nodes are more than {max_depth} hops away")
 
 
 def landmark_distances(edges: DataFrame, landmarks: DataFrame) -> DataFrame:
@@ -170,6 +223,14 @@ def landmark_distances(edges: DataFrame, landmarks: DataFrame) -> DataFrame:
     return distances(back, landmarks).select("id", F.col("source").alias("landmark"), "dist")
 
 
+def giant_seeds(edges: DataFrame, ranked: DataFrame, n: int = 5) -> DataFrame:
+    """id: of the ranked nodes (id, rank) the first n that lie in the largest component (of equals the one with the least node)."""
+    parts = cut(connected_components(edges))
+    giant = parts.groupBy("component").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "component").limit(1)
+    inside = ranked.join(parts.withColumnRenamed("node", "id"), "id").join(giant, "component", "left_semi")
+    return inside.orderBy(F.desc("rank"), "id").limit(n).select("id")
+
+
 def diameter_bound(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """The longest undirected distance from the sources: at most the diameter."""
     return distances(edges, sources, directed=False).agg(F.max("dist").alias("diameter_lower_bound"))
@@ -180,7 +241,7 @@ def strong_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
 
     Rounds of: nodes without in- or out-edges are components of their own and go; colours
     spread forward as least ids; from each colour's root the nodes of its colour that
-    reach it are one component.
+    reach it are one component. Raises an error if nodes are left after max_rounds rounds.
     """
     nodes = cut(vertices(edges))
     left = cut(edges.where("src <> dst").select("src", "dst").distinct())
@@ -213,6 +274,8 @@ def strong_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
             found = cut(found.unionByName(frontier))
         done = cut(done.unionByName(found.select("id", F.col("colour").alias("component"))))
         left = cut(left.join(found.select(F.col("id").alias("src")), "src", "left_anti").join(found.select(F.col("id").alias("dst")), "dst", "left_anti"))
+    else:
+        raise RuntimeError(f"strong components need more than {max_rounds} rounds")
     return nodes.join(done, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
@@ -287,14 +350,68 @@ def betweenness(edges: DataFrame, sources: DataFrame | None = None, normalised:
 
 
 def report(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Long-format metrics (metric, key, value) of the graph's tables."""
+    """Long-format metrics (metric, key, value) of the graph's tables: counts, densities, degrees, components, top nodes and relations.
+
+    nodes: node_name, node_type; edges: src, dst, relation, edge_type and what tells rows apart.
+    """
+    zero = F.lit(0.0)
 
     def counts(df: DataFrame, metric: str, key: str | Column) -> DataFrame:
         key = F.col(key) if isinstance(key, str) else key
         return df.groupBy(key.cast("string").alias("key")).agg(F.count("*").cast("double").alias("value")).select(F.lit(metric).alias("metric"), "key", "value")
 
-    d = degrees(edges)
-    facts = d.agg(F.count("*").alias("n"), F.max("degree").alias("m"), F.avg("degree").alias("a"), F.percentile_approx("degree", [0.5, 0.95, 0.99], 100_000).alias("p"))
-    stats = facts.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, ["nodes", "max", "avg", "p50", "p95", "p99"])), F.array(F.col("n").cast("double"), F.col("m").cast("double"), F.round("a", 6), *(F.col("p")[i].cast("double") for i in range(3))))).alias("key", "value"))
-    out = counts(nodes, "node_type", "node_type").union(counts(edges, "edge_type", "edge_type")).union(stats.select(F.lit("degree").alias("metric"), "key", "value"))
-    return out.union(reciprocal_pairs(edges).agg(F.count("*").cast("double").alias("value")).select(F.lit("reciprocal"), F.lit("pairs"), "value"))
+    def facts(df: DataFrame, metric: str) -> DataFrame:
+        """The columns of a frame of one row."""
+        pairs = F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.coalesce(F.col(c).cast("double"), zero) for c in df.columns)))
+        return df.select(F.explode(pairs)).select(F.lit(metric).alias("metric"), "key", "value")
+
+    d = cut(nodes.select(F.col("node_name").alias("id"), "node_type").join(degrees(edges), "id", "left").na.fill(0, ["in_degree", "out_degree", "degree"]))
+    n = d.agg(F.count("*").alias("triple_nodes"))
+    e = edges.agg(F.count("*").alias("triple_edges"), F.countDistinct("src", "relation", "dst", "edge_type").alias("distinct_semantic_triples"), F.countDistinct("src", "dst").alias("distinct_directed_pairs"), F.countDistinct("relation").alias("relations"))
+    both = cut(n.crossJoin(e).crossJoin(reciprocal_pairs(edges).agg(F.count("*").alias("reciprocal_directed_pairs"))))  # one row each
+    m = F.col("triple_nodes").cast("double")
+    most = m * (m - 1)
+    density = both.select(
+        F.round(F.try_divide(F.col("triple_edges").cast("double"), most), 8).alias("directed_density_by_rows"), F.round(F.try_divide(F.col("distinct_directed_pairs").cast("double"), most), 8).alias("directed_density_by_distinct_pairs"),
+        F.round(F.try_divide(2.0 * F.col("triple_edges"), m), 6).alias("avg_degree_by_rows"), F.round(F.try_divide(2.0 * F.col("distinct_directed_pairs"), m), 6).alias("avg_degree_by_distinct_pairs"),
+    )
+    p = F.percentile_approx("degree", [0.5, 0.9, 0.99], 100_000)
+    degree = d.agg(F.count_if(F.col("degree") == 0).alias("zero_degree_nodes"), F.round(F.avg("degree"), 6).alias("avg_degree"), F.max("degree").alias("max_degree"), p.alias("p"))
+    degree = degree.select("zero_degree_nodes", "avg_degree", "max_degree", *(F.col("p")[i].alias(f"p{q}_degree") for i, q in enumerate((50, 90, 99))))
+    loops = nodes.select(F.col("node_name").alias("src"), F.col("node_name").alias("dst"))
+    sizes = connected_components(edges.select("src", "dst").union(loops)).groupBy("component").agg(F.count("*").alias("size"))
+    components = sizes.agg(F.count("*").alias("components"), F.max("size").alias("largest_component"), F.count_if(F.col("size") == 1).alias("isolated_nodes"))
+    tops = top_by(d, "degree", 20).select(F.lit("top_nodes").alias("metric"), F.col("id").alias("key"), F.col("degree").cast("double").alias("value"))
+    rels = top_by(edges.groupBy("relation").agg(F.count("*").alias("n")), "n", 20, "relation").select(F.lit("top_relations"), "relation", F.col("n").cast("double"))
+    parts = [facts(both, "counts"), counts(nodes, "node_type", "node_type"), counts(edges, "edge_type", "edge_type"), facts(density, "density"), facts(degree, "degree"), facts(components, "components"), tops, rels]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def table_report(text_nodes: DataFrame, text_edges: DataFrame, coverage: DataFrame, enriched: DataFrame, nodes: DataFrame, concept_nodes: DataFrame, concept_edges: DataFrame) -> DataFrame:
+    """Long-format metrics of provenance, concepts and quality.
+
+    text_nodes: text_id; text_edges: node_name, text_id; coverage: node_type, mapping_status; enriched: src,
+    dst and <src, dst, relation>_concept_status; nodes: node_name; concept_nodes: concept_id; concept_edges: dst.
+    """
+
+    def row(metric: str, key: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").cast("double").alias("value")).select(F.lit(metric).alias("metric"), F.lit(key).alias("key"), "value")
+
+    def orphan(df: DataFrame, key: str, known: DataFrame, name: str) -> DataFrame:
+        return df.join(known.select(F.col(name).alias(key)).distinct(), key, "left_anti")
+
+    fans = []
+    for key, other, mean, most, count in (("node_name", "text_id", "avg_source_texts_per_node", "max_source_texts_per_node", "nodes_with_source_text"), ("text_id", "node_name", "avg_nodes_per_text", "max_nodes_per_text", "text_nodes_with_edges")):
+        per = text_edges.groupBy(key).agg(F.countDistinct(other).alias("n")).agg(F.round(F.avg("n"), 6).alias(mean), F.max("n").cast("double").alias(most), F.count("*").cast("double").alias(count))
+        pairs = F.map_from_arrays(F.array(*map(F.lit, (mean, most, count))), F.array(*(F.coalesce(c, F.lit(0.0)) for c in (mean, most, count))))
+        fans.append(per.select(F.explode(pairs)).select(F.lit("provenance").alias("metric"), "key", "value"))
+    status = coverage.groupBy(F.concat_ws("/", "node_type", "mapping_status").alias("key")).agg(F.count("*").cast("double").alias("value")).select(F.lit("coverage_by_type_status").alias("metric"), "key", "value")
+    out = fans[0].union(fans[1]).union(row("provenance", "orphan_text_edges", orphan(text_edges, "text_id", text_nodes, "text_id"))).union(status)
+    for end in ("src", "dst", "relation"):
+        column = f"{end}_concept_status"
+        out = out.union(enriched.groupBy(F.col(column).alias("key")).agg(F.count("*").cast("double").alias("value")).select(F.lit(column), "key", "value"))
+    out = out.union(row("quality", "orphan_enriched_src", orphan(enriched, "src", nodes, "node_name"))).union(row("quality", "orphan_enriched_dst", orphan(enriched, "dst", nodes, "node_name")))
+    return out.union(row("concept", "orphan_concept_edges", orphan(concept_edges, "dst", concept_nodes, "concept_id")))

@@ -120,16 +120,16 @@ def concept_quotas(limit: int, entity: int | None = None, event: int | None = No
 
 
 def embedding_quotas(limit: int, text: int | None = None, node: int | None = None, edge: int | None = None) -> dict[str, int]:
-    """At most 250 texts and 500 nodes, the rest edges, unless given; an excess is cut from texts, then nodes, then edges; a lack goes to edges."""
-    q = {"text": min(250, limit) if text is None else max(0, text)}
-    q["node"] = min(500, max(0, limit - q["text"])) if node is None else max(0, node)
-    q["edge"] = max(0, limit - sum(q.values())) if edge is None else max(0, edge)
+    """At most 250 texts and 500 nodes, the rest edges, unless given; an excess is cut from texts, then nodes, then edges. A lack stays."""
+    text = min(250, limit) if text is None else text
+    node = min(500, max(0, limit - text)) if node is None else node
+    edge = max(0, limit - text - node) if edge is None else edge
+    q = {"text": max(0, text), "node": max(0, node), "edge": max(0, edge)}
     over = sum(q.values()) - limit
-    for kind in ("text", "node", "edge"):
+    for kind in q:
         cut = min(max(over, 0), q[kind])
         q[kind] -= cut
         over -= cut
-    q["edge"] += max(0, limit - sum(q.values()))
     return q
 
 
@@ -232,12 +232,35 @@ def newest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
 
 
-STATUS_RANK = {"VALID": 50, "SUCCESS": 50, "MAPPED": 50, "EMPTY": 30, "UNMAPPED": 30, "FAILED": 20, "TIMEOUT": 20, "RATE_LIMITED": 20, "INVALID": 20, "NOT_RUN": 10, "PENDING": 10, "MISSING_REQUEST": 0}
+# The rank of each status over runs. Unknown ones rank 0.
+STATUS_RANK = {"MAPPED": 60, "VALID": 55, "SUCCESS": 50, "EMPTY": 40, "INVALID": 30, "FAILED": 20, "TIMEOUT": 20, "RATE_LIMITED": 20, "NOT_REQUESTED": 10, "MISSING": 0}
+#: The name of a rank: of equal ranks the last one above.
+_RANK_NAME = {rank: status for status, rank in STATUS_RANK.items()}
 
 
-def best_status(rows: DataFrame, keys: list[str], status: str, prefer: tuple[str, ...] = ("RATE_LIMITED", "TIMEOUT", "FAILED")) -> DataFrame:
-    """The best status of each key over all runs; of equal ranks the one that `prefer` names first, then by name."""
-    rank = F.coalesce(F.try_element_at(F.create_map(*(x for k, v in STATUS_RANK.items() for x in (F.lit(k), F.lit(v)))), F.col(status)), F.lit(-1))
-    place = F.array_position(F.array(*map(F.lit, prefer)), F.col(status))
-    tie = F.when(place == 0, len(prefer) + 1).otherwise(place).cast("int")
-    return rows.groupBy(*keys).agg(F.min_by(status, F.struct(-rank, tie, F.col(status))).alias(status))
+def _mapped(table: dict, key: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for item in table.items() for x in item)), key)
+
+
+def best_over_runs(rows: DataFrame, keys: list[str], statuses: list[str], counts: list[str] = ()) -> DataFrame:
+    """One row for each key: the best of each status (trimmed, in any case) and the greatest of each count over all runs."""
+    rank = lambda c: F.coalesce(_mapped(STATUS_RANK, F.upper(F.trim(F.col(c)))), F.lit(0))
+    best = rows.groupBy(*keys).agg(*(F.max(rank(c)).alias(c) for c in statuses), *(F.max(F.col(c).cast("int")).alias(c) for c in counts))
+    return best.select(*keys, *(_mapped(_RANK_NAME, F.col(c)).alias(c) for c in statuses), *counts)
+
+
+def best_status(rows: DataFrame, keys: list[str], status: str) -> DataFrame:
+    """The best status of each key over all runs, as `status`."""
+    return best_over_runs(rows, keys, [status]).withColumnRenamed(status, "status")
+
+
+def global_coverage(coverage: DataFrame) -> DataFrame:
+    """The coverage of all runs as one: name, node_type, mapping_status, concept_count."""
+    rows = coverage.select(F.trim("name").alias("name"), F.lower(F.trim("node_type")).alias("node_type"), "mapping_status", "concept_count").where(tx.non_empty("name"))
+    return best_over_runs(rows, ["name", "node_type"], ["mapping_status"], ["concept_count"])
+
+
+def global_edges(enriched: DataFrame) -> DataFrame:
+    """The enriched edges of all runs as one, with the best statuses and greatest concept counts of src, dst and relation."""
+    ends = ("src", "dst", "relation")
+    return best_over_runs(enriched, EDGE_KEY, [f"{e}_concept_status" for e in ends], [f"{e}_concept_count" for e in ends])

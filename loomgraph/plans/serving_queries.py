@@ -307,11 +307,17 @@ def reference_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return ing.new_references(found.select("normalized_url"), found.where("page_id % 2 = 0"))
 
 
+#: Classes of lines that one scan tells apart; more raise an error.
+MOST_CLASSES = 1000
+
+
 @query("SELECT event_type AS class, count(*) AS lines FROM events GROUP BY event_type")
 def log_classify(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "events").select(F.concat(F.lit("at "), F.col("ts").cast("string"), F.lit(" <"), "event_type", F.lit(">")).alias("value"))
-    kinds = [r.event_type for r in table(spark, sf, "events").select("event_type").distinct().orderBy("event_type").limit(100).collect()]
-    return ing.log_summary(lines, {k: f"<{k}>" for k in kinds})
+    found = table(spark, sf, "events").select("event_type").distinct().orderBy("event_type").limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes of lines")
+    return ing.log_summary(lines, {f"{r.event_type}": f"<{r.event_type}>" for r in found})
 
 
 @query("SELECT l_shipmode_table AS \"table\", max(run_id) AS latest FROM (SELECT l_returnflag AS l_shipmode_table, concat('run_', strftime(l_shipdate, '%Y%m%d')) AS run_id FROM lineitem) GROUP BY 1")

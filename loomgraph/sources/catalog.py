@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -132,10 +133,18 @@ def read_kv(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
 
 
 def read_objects(spark: SparkSession, keys: DataFrame, root: str, schema: str) -> DataFrame:
-    """Stored JSON objects by key (column object_key): key, the parsed object (null if broken), found."""
-    stored = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
-    stored = stored.select(F.regexp_replace(F.col("_metadata.file_path"), "^.*" + root.rstrip("/").replace("file:", "") + "/", "").alias("object_key"), F.from_json("value", schema).alias("object"), F.lit(True).alias("found"))
-    return keys.select("object_key").distinct().join(stored, "object_key", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    """Stored JSON objects by key (column object_key): key, the parsed object, found, error (`missing` or `invalid_json`; null if neither).
+
+    Files are listed and matched with the keys by their paths; only those wanted are read and parsed.
+    """
+    at = F.regexp_replace("path", "^.*" + re.escape(root.rstrip("/").replace("file:", "")) + "/", "")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    wanted = keys.select("object_key").distinct()
+    stored = files.select(at.alias("object_key"), "path", "content").join(wanted, "object_key", "left_semi")
+    read = stored.select("object_key", F.from_json(F.col("content").cast("string"), schema, {"mode": "PERMISSIVE"}).alias("object"), F.try_parse_json(F.col("content").cast("string")).isNotNull().alias("sound"))
+    found = F.col("sound").isNotNull()
+    error = F.when(~found, "missing").when(~F.col("sound"), "invalid_json")
+    return wanted.join(read, "object_key", "left").select("object_key", F.when(F.col("sound"), F.col("object")).alias("object"), found.alias("found"), error.alias("error"))
 
 
 def write_report(metrics: DataFrame, path: str) -> None:
@@ -149,13 +158,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def render_markdown(title: str, metrics: DataFrame, most: int = 1000) -> str:
-    """A report of (metric, key, value) rows; at most `most` rows."""
+    """A report of (metric, key, value) rows; at most `most` rows, and a line that says so if there are more."""
     lines, last = [f"# {title}", ""], None
-    for r in metrics.orderBy("metric", "key").limit(most).collect():
+    rows = metrics.orderBy("metric", "key").limit(most + 1).collect()
+    for r in rows[:most]:
         if r.metric != last:
             lines += ["", f"## {r.metric}", "", "| key | value |", "| --- | --- |"]
             last = r.metric
         lines.append(f"| {r.key} | {r.value} |")
+    if len(rows) > most:
+        lines += ["", f"Only the first {most} rows are shown."]
     return "\n".join(lines) + "\n"
 
 

@@ -93,6 +93,54 @@ def test_quotas():
     assert kg.concept_quotas(10, entity=1, event=1, relation=1) == {"entity": 8, "relation": 1, "event": 1}
     assert kg.embedding_quotas(1000) == {"text": 250, "node": 500, "edge": 250}
     assert kg.embedding_quotas(10, text=8, node=8, edge=0) == {"text": 2, "node": 8, "edge": 0}
+    assert kg.embedding_quotas(10, text=2, node=3, edge=1) == {"text": 2, "node": 3, "edge": 1}  # a lack stays
+    assert kg.embedding_quotas(100, text=-5) == {"text": 0, "node": 100, "edge": 0}
+
+
+def test_best_status_of_runs(spark):
+    rows = [("a", "mapped", 1), ("a", "VALID", 5), ("b", " success", None), ("b", "VALID", None), ("c", "FAILED", 2), ("c", "TIMEOUT", 3), ("d", "INVALID", 0), ("d", "EMPTY", 0), ("e", "what", 1), ("e", None, 2), ("f", "NOT_REQUESTED", 0), ("f", "MISSING", 0)]
+    df = spark.createDataFrame([(n, "Entity", s, c) for n, s, c in rows] + [(" ", "entity", "MAPPED", 9)], "name string, node_type string, mapping_status string, concept_count int")
+    got = {r.name: (r.mapping_status, r.concept_count) for r in kg.global_coverage(df).collect()}
+    assert got == {"a": ("MAPPED", 5), "b": ("VALID", None), "c": ("RATE_LIMITED", 3), "d": ("EMPTY", 0), "e": ("MISSING", 2), "f": ("NOT_REQUESTED", 0)}
+
+
+def test_settled_communities(spark, pairs):
+    near = {}
+    for a, b in pairs:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    label = {r.id: r.label for r in graph.communities(edges(spark, pairs)).collect()}
+    for v, others in near.items():
+        votes = [label[w] for w in others]
+        assert votes.count(label[v]) == max(map(votes.count, votes)), v
+    with pytest.raises(RuntimeError, match="settle"):
+        graph.communities(edges(spark, [("a", "b"), ("b", "c")]), max_rounds=1)
+
+
+def test_round_limits_raise(spark):
+    rings = [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("a", "c")]
+    with pytest.raises(RuntimeError, match="rounds"):
+        graph.strong_components(edges(spark, rings), max_rounds=1)
+    got = {r.id: r.component for r in graph.strong_components(edges(spark, rings)).collect()}
+    assert got == {"a": "a", "b": "a", "c": "c", "d": "c"}
+    path = edges(spark, [("a", "b"), ("b", "c"), ("c", "d")])
+    with pytest.raises(RuntimeError, match="hops"):
+        graph.distances(path, spark.createDataFrame([("a",)], "id string"), max_depth=2)
+    assert graph.distances(path, spark.createDataFrame([("a",)], "id string"), max_depth=4).count() == 4
+
+
+def test_degree_summary_and_clustering(spark):
+    star = [("h", f"x{k}") for k in range(39)] + [("x0", "x1")]
+    r = graph.degree_summary(edges(spark, star)).first()
+    assert (r.nodes, r.degree_max, r.degree_median, r.degree_p95, r.degree_p99, r.max_in_degree, r.max_out_degree) == (40, 39, 1, 2, 39, 2, 39)
+    assert graph.average_clustering(edges(spark, star)).first()[0] == pytest.approx((2 * 1.0 + 2 / (39 * 38)) / 40, abs=1e-6)
+
+
+def test_seeds_in_the_giant_component(spark):
+    e = edges(spark, [("a", "b"), ("b", "c"), ("x", "y")])
+    ranked = spark.createDataFrame([("x", 0.9), ("c", 0.5), ("a", 0.5), ("b", 0.1)], "id string, rank double")
+    assert {r.id for r in graph.giant_seeds(e, ranked, 2).collect()} == {"a", "c"}
 
 
 def test_two_types_of_one_name(spark):
