@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.functions import jsons
 from loomgraph.functions import text as tx
 from loomgraph.functions.chunking import chunks
 
@@ -86,3 +89,41 @@ def next_chunks(chunked: DataFrame, doc: str, order: list[str], chunk: str) -> D
     """Ordered neighbours within a document: doc, chunk, next_chunk."""
     w = Window.partitionBy(doc).orderBy(*order)
     return chunked.select(doc, chunk, F.lead(chunk).over(w).alias("next_chunk")).where("next_chunk is not null")
+
+
+def source_id(record: Column | str, id_field: str = "id") -> Column:
+    """The id that a raw record (JSON text) brings: the given field, `_id.$oid`, `_id`, id, url; the first that isn't empty."""
+    record = F.col(record) if isinstance(record, str) else record
+    oid = F.get_json_object(record, "$._id['$oid']")
+    found = [jsons.normal_scalar(record, id_field), oid, *(jsons.normal_scalar(record, p) for p in ("_id", "id", "url"))]
+    return F.coalesce(*(F.when(F.length(c) > 0, c) for c in found))
+
+
+def source_name(record: Column | str, path: Column | str) -> Column:
+    """Where a record is from: its domain, the host (and port) of its url, or the stem of its file."""
+    record = F.col(record) if isinstance(record, str) else record
+    host = F.regexp_extract(F.get_json_object(record, "$.url"), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)
+    stem = F.regexp_extract(F.col(path) if isinstance(path, str) else path, r"([^/]*?)(\.[^./]*)?$", 1)
+    return F.coalesce(*(F.when(F.length(c) > 0, c) for c in (F.get_json_object(record, "$.domain"), host, stem)))
+
+
+def text_lengths(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: avg_<column>_length (6 digits) and max_<column>_length, in one pass."""
+    parts = [f for c in columns for f in (F.round(F.avg(F.length(c)), 6).alias(f"avg_{c}_length"), F.max(F.length(c)).alias(f"max_{c}_length"))]
+    return df.agg(*parts)
+
+
+def of_types(df: DataFrame, types: list[str], column: str = "node_type") -> DataFrame:
+    """Only rows of the given types."""
+    return df.where(F.col(column).isin(types))
+
+
+def tagged(df: DataFrame, run_id: str, version: str, now: datetime | None = None) -> DataFrame:
+    """With run_id, schema_version and created_at of a run; `now` fixes the clock (default: the time of the query)."""
+    at = F.current_timestamp() if now is None else F.lit(now)
+    return df.withColumns({"run_id": F.lit(run_id), "schema_version": F.lit(version), "created_at": at})
+
+
+def run_id_of(now: datetime, prefix: str = "run") -> str:
+    """A run's id by the clock, in UTC."""
+    return f"{prefix}_{now.astimezone(timezone.utc):%Y%m%dT%H%M%SZ}"

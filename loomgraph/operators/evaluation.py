@@ -56,3 +56,18 @@ def select_items(items: DataFrame, domain: str | None = None, question_type: str
     items = items if topic is None else items.where(F.array_contains("topic", topic))
     items = items.orderBy("id").offset(offset)
     return items if limit is None else items.limit(limit)
+
+
+def answer_context_f1(answers: DataFrame, chunks: DataFrame, key: list[str], order: str, answer: str = "answer", chunk: str = "chunk") -> DataFrame:
+    """The token F1 of each answer with its chunks joined by newlines in their order (no chunks: the empty text)."""
+    joined = chunks.groupBy(*key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, F.coalesce(chunk, F.lit("")).alias("c")))), lambda x: x["c"]), "\n").alias("_context"))
+    pairs = answers.join(joined, key, "left").withColumn("_context", F.coalesce("_context", F.lit("")))
+    return token_f1(pairs, key, answer, "_context").withColumnRenamed("f1", "answer_context_f1")
+
+
+def summary_from_file(spark, path: str, metrics: list[str], key: str = "id", by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The summary of a results file of JSON lines, and its cases ranked by a metric (default: the first)."""
+    results = spark.read.json(path)
+    absent = [c for c in (*metrics, "error", key) if c not in results.columns]
+    results = results.withColumns({c: F.lit(None).cast("string" if c in ("error", key) else "double") for c in absent})
+    return summary(results, metrics), ranked_cases(results, by or metrics[0], key)

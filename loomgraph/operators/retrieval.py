@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import vectors as vec
+from loomgraph.session import cut
 
 
 def terms(text: Column) -> Column:
@@ -108,6 +109,69 @@ def reciprocal_rank_fusion(lists: DataFrame, k: int, constant: int = 60) -> Data
     return fused.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score", "sources", "payload")
 
 
+def entity_search(entities: DataFrame, queries: DataFrame, k: int, weight_col: str = "source_count") -> DataFrame:
+    """query_id, rank, id, score, source: the k best entities (id, name, description) of each query (query_id, query).
+
+    By BM25 over names and descriptions with the query's terms and what is one edit away; a query without
+    any hit falls back to the entities whose name or description holds its text, by weight_col.
+    """
+    text = entities.select("id", F.concat_ws(" ", "name", "description").alias("text"), weight_col)
+    index = cut(postings(text, "id", "text"))
+    asked = queries.select("query_id", F.explode(terms(F.col("query"))).alias("term")).distinct()
+    wide = cut(fuzzy_terms(index, asked))
+    hits = cut(bm25(index, corpus_stats(text, "text"), wide, k).withColumn("source", F.lit("entity_fulltext")))
+    left = queries.join(hits.select("query_id").distinct(), "query_id", "left_anti")
+    held = contains_search(text, left, k, "id", "text", weight_col).withColumn("score", F.lit(0.0)).withColumn("source", F.lit("entity_contains"))
+    return hits.unionByName(held)
+
+
+def as_list(ranked: DataFrame, list_no: int, source: str, weight: float = 1.0) -> DataFrame:
+    """A ranked list as reciprocal_rank_fusion() takes it."""
+    payload = F.col("payload") if "payload" in ranked.columns else F.lit(None).cast("string").alias("payload")
+    return ranked.select("query_id", F.lit(list_no).alias("list_no"), F.lit(source).alias("source"), F.lit(weight).alias("weight"), "rank", F.col("id").cast("string").alias("id"), payload)
+
+
+def graph_retrieve(entities: DataFrame, edges: DataFrame, mentions: DataFrame, chunk_lists: list[tuple[str, float, DataFrame]], queries: DataFrame, entity_k: int = 8, relations_per_entity: int = 4, relation_k: int = 12, chunk_k: int = 10, hops: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entities, relations, chunks) of each query: search, neighbourhoods of what was found, and fused chunks.
+
+    edges: edge_id, src, dst, weight, description, chunk_ids; mentions: chunk_id, entity; chunk_lists: (source,
+    weight, query_id, rank, id) of searches over chunks. Chunks fuse these with the chunks that mention
+    the entities and those that the relations name. A path's description joins those of its edges.
+    """
+    found = cut(entity_search(entities, queries, entity_k))
+    seeds = found.select("query_id", F.col("id").alias("seed"))
+    paths = neighbourhood(edges.select("edge_id", "src", "dst", "weight"), seeds.select(F.col("seed").alias("id")).distinct(), hops, per_seed=relations_per_entity)
+    steps = paths.select("seed", "node", "path", "hops", "weight", F.posexplode("path").alias("pos", "edge_id")).join(edges.select("edge_id", "description", "chunk_ids"), "edge_id")
+    told = steps.groupBy("seed", "node", "path", "hops", "weight").agg(F.sort_array(F.collect_list(F.struct("pos", "description", "chunk_ids"))).alias("s"))
+    told = told.withColumn("description", F.concat_ws(" | ", F.expr("transform(filter(s, x -> length(x.description) > 0), x -> x.description)"))).withColumn("chunk_ids", F.array_distinct(F.expr("flatten(transform(s, x -> coalesce(x.chunk_ids, cast(array() as array<string>))))")))
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("weight"), "hops", "seed", "path")
+    relations = cut(seeds.join(told.drop("s"), "seed").withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= relation_k))
+    evidence = relations.select("query_id", F.posexplode("chunk_ids").alias("at", "id"), "rank").groupBy("query_id", "id").agg(F.min(F.struct("rank", "at")).alias("pos"))
+    in_order = Window.partitionBy("query_id").orderBy("pos")
+    evidence = evidence.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= chunk_k)
+    named = mention_chunks(mentions, seeds.select("query_id", F.col("seed").alias("entity")), chunk_k)
+    lists = [as_list(df, no, source, weight) for no, (source, weight, df) in enumerate([*chunk_lists, ("entity_mentions", 1.0, named), ("relation_evidence", 1.0, evidence)], 1)]
+    every = lists[0]
+    for other in lists[1:]:
+        every = every.unionByName(other)
+    return found, relations, cut(reciprocal_rank_fusion(every, chunk_k))
+
+
+def outer_fusion(graph_chunks: DataFrame, vector_chunks: DataFrame, k: int, graph_weight: float = 1.0, vector_weight: float = 1.0) -> DataFrame:
+    """The second fusion: what the graph found with what a vector index found."""
+    return reciprocal_rank_fusion(as_list(graph_chunks, 1, "graph", graph_weight).unionByName(as_list(vector_chunks, 2, "vector", vector_weight)), k)
+
+
+def pack_sections(entities: DataFrame, relations: DataFrame, chunks: DataFrame, most_entities: int = 8, most_relations: int = 12, budget: int = 12_000, overhead: int = 0) -> DataFrame:
+    """query_id, section (1 entities, 2 relations, 3 chunks), rank, line: the first entities and relations, then whole chunks until the budget is used.
+
+    entities: query_id, rank, line; relations and chunks likewise (the text of a chunk is its line).
+    """
+    heads = [df.where(F.col("rank") <= most).select("query_id", F.lit(no).alias("section"), "rank", "line") for no, df, most in ((1, entities, most_entities), (2, relations, most_relations))]
+    packed = pack_context(chunks, budget, "line", overhead).select("query_id", F.lit(3).alias("section"), "rank", "line")
+    return heads[0].unionByName(heads[1]).unionByName(packed)
+
+
 def best_raw_score(items: DataFrame, k: int) -> DataFrame:
     """The other merge: each id with its greatest score."""
     return top_k(items.where("id is not null").groupBy("query_id", "id").agg(F.max("score").alias("score")), k)

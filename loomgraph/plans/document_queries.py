@@ -227,3 +227,21 @@ def next_chunk(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20")
 def longest_documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "source", "n_chars").orderBy(F.desc("n_chars"), "doc_id").limit(20)
+
+
+@query("SELECT round(avg(length(text)), 6) AS avg_text_length, max(length(text)) AS max_text_length, round(avg(length(source)), 6) AS avg_source_length, max(length(source)) AS max_source_length FROM documents")
+def text_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    df = docs_.text_lengths(table(spark, sf, "documents"), "text", "source")
+    return df.withColumns({c: F.col(c).cast("bigint") for c in ("max_text_length", "max_source_length")})
+
+
+#: Raw records: ids in five places, as number, object or text; hosts with ports.
+_RECORD = """CASE page_id % 6 WHEN 0 THEN concat('{"key": {"n": ', page_id, '}, "url": "', url, '"}') WHEN 1 THEN concat('{"_id": {"$oid": "o', page_id, '"}, "domain": "d', page_id % 3, '"}')
+ WHEN 2 THEN concat('{"key": {}, "_id": ', page_id, ', "url": "http://h', page_id % 5, ':80/x"}') WHEN 3 THEN concat('{"key": {"n": ""}, "id": true, "url": ""}') WHEN 4 THEN concat('{"_id": {"b": 1, "a": ', page_id, '}}') ELSE '{"x": 1}' END"""
+
+
+@query(r"""SELECT page_id, CASE page_id % 6 WHEN 0 THEN CAST(page_id AS VARCHAR) WHEN 1 THEN concat('o', page_id) WHEN 2 THEN CAST(page_id AS VARCHAR) WHEN 3 THEN 'true' WHEN 4 THEN concat('{"a": ', page_id, ', "b": 1}') ELSE sha256(html) END AS doc_id,
+ CASE page_id % 6 WHEN 0 THEN regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1) WHEN 1 THEN concat('d', page_id % 3) WHEN 2 THEN concat('h', page_id % 5, ':80') ELSE 'pages' END AS source_name FROM pages""")
+def source_ids(spark: SparkSession, sf: str) -> DataFrame:
+    df = table(spark, sf, "pages").selectExpr("page_id", "html", f"{_RECORD} AS record")
+    return df.select("page_id", docs_.derive_doc_id(docs_.source_id("record", "key.n"), content=F.col("html")).alias("doc_id"), docs_.source_name("record", F.lit("/raw/pages.jsonl")).alias("source_name"))

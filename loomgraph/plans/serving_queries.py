@@ -9,6 +9,7 @@ from loomgraph.functions import text as tx, vectors as vec
 from loomgraph.operators import evaluation as ev
 from loomgraph.operators import ingestion as ing
 from loomgraph.operators import retrieval as rt
+from loomgraph.operators import serving
 from loomgraph.plans.fixtures import table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -156,6 +157,145 @@ def history_clean(spark: SparkSession, sf: str) -> DataFrame:
     return rt.clean_history(table(spark, sf, "conversations")).select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_hash"))
 
 
+# --- the rows of a serving graph
+
+_DOC_STATUS = "SELECT CAST(doc_id AS STRING) AS id, CASE quality WHEN 1 THEN 'processed' WHEN 0 THEN CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'failed' END END AS status, concat('status/', CAST(doc_id AS STRING)) AS file_path, toxic + 1 AS chunks_count, doc_id * 10 AS content_length FROM labels"
+_DOC_ROWS = "CAST(doc_id AS STRING) AS id, text AS content, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END AS file_path"
+
+
+def _doc_status(spark, sf):
+    return table(spark, sf, "labels").selectExpr("CAST(doc_id AS STRING) AS id", "CASE quality WHEN 1 THEN 'processed' WHEN 0 THEN CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'failed' END END AS status", "concat('status/', CAST(doc_id AS STRING)) AS file_path", "toxic + 1 AS chunks_count", "doc_id * 10 AS content_length")
+
+
+@query(f"SELECT d.id, sha256(content) AS content_hash, coalesce(nullif(d.file_path, ''), s.file_path) AS file_path, status, chunks_count, content_length FROM (SELECT {_DOC_ROWS} FROM documents) d LEFT JOIN ({_DOC_STATUS}) s USING (id)")
+def serving_documents(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").selectExpr("CAST(doc_id AS STRING) AS id", "text AS content", "CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END AS file_path")
+    return serving.document_rows(docs, _doc_status(spark, sf)).select("id", F.sha2("content", 256).alias("content_hash"), "file_path", "status", "chunks_count", "content_length")
+
+
+@query("SELECT CAST(d.doc_id AS STRING) AS id, coalesce(len(v.embedding), 0) AS size, round(coalesce(v.embedding[1], 0), 6) AS first FROM documents d LEFT JOIN (SELECT * FROM embeddings WHERE vec_id % 5 <> 0) v ON v.vec_id = d.doc_id")
+def serving_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks with the vectors of their ids; every fifth vector is empty."""
+    chunks = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    empty = F.array().cast("array<float>")
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("id"), F.when(F.col("vec_id") % 5 == 0, empty).otherwise(F.col("embedding")).alias("embedding"))
+    size = F.coalesce(F.size("embedding"), F.lit(0))
+    return serving.chunk_rows(chunks, vectors).select("id", F.when(F.col("embedding").isNull(), 0).otherwise(size).cast("bigint").alias("size"), F.round(F.coalesce(F.get("embedding", F.lit(0)), F.lit(0.0)), 6).alias("first"))
+
+
+_PAIR = "concat('p', CAST(l_partkey AS STRING)) AS p, concat('s', CAST(l_suppkey AS STRING)) AS s"
+_REL_CHUNKS = f"""SELECT concat(p, '<SEP>', s) AS id, list_sort(list(DISTINCT CAST(l_orderkey AS STRING))) AS chunk_ids FROM (SELECT *, {_PAIR} FROM lineitem WHERE l_linenumber = 1) GROUP BY ALL
+ UNION ALL SELECT concat(s, '<SEP>', p), list_sort(list(DISTINCT CAST(l_orderkey AS STRING))) FROM (SELECT *, {_PAIR} FROM lineitem WHERE l_linenumber IN (1, 2)) GROUP BY ALL"""
+
+
+@query(f"""WITH e AS (SELECT DISTINCT {_PAIR} FROM lineitem), c AS ({_REL_CHUNKS}) SELECT concat(p, '<SEP>', s) AS pair_id, array_to_string(coalesce(a.chunk_ids, b.chunk_ids, []), ',') AS chunks, CAST(len(coalesce(a.chunk_ids, b.chunk_ids, [])) AS INTEGER) AS chunk_count
+ FROM e LEFT JOIN c a ON a.id = concat(p, '<SEP>', s) LEFT JOIN c b ON b.id = concat(s, '<SEP>', p)""")
+def serving_relations(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of a pair, else those of the reversed pair."""
+    lines = table(spark, sf, "lineitem").selectExpr(*_PAIR.split(", concat('s'")[:1], "concat('s', CAST(l_suppkey AS STRING)) AS s", "l_linenumber", "CAST(l_orderkey AS STRING) AS chunk")
+    keyed = lambda one, other, df: df.groupBy(F.concat_ws("<SEP>", one, other).alias("id")).agg(F.sort_array(F.collect_set("chunk")).alias("chunk_ids"))
+    chunks = keyed("p", "s", lines.where("l_linenumber = 1")).union(keyed("s", "p", lines.where("l_linenumber in (1, 2)")))
+    edges = lines.select(F.col("p").alias("src"), F.col("s").alias("dst")).distinct()
+    return serving.relation_rows(edges, chunks).select("pair_id", F.array_join("chunk_ids", ",").alias("chunks"), "chunk_count")
+
+
+_ENT = """SELECT coalesce(n.id, r.id) AS id, lower(coalesce(n.id, r.id)) AS name_lc, n.p_type AS entity_type, coalesce(nullif(n.description, ''), r.p_brand) AS description,
+ CASE WHEN n.many THEN ['x1'] WHEN r.id IS NOT NULL THEN ['a' || r.p_size, 'b'] ELSE [] END AS source_ids FROM (SELECT p_name || p_partkey AS id, p_type, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_container END AS description, p_partkey % 2 = 0 AS many FROM (SELECT *, p_brand AS p_container FROM part) WHERE p_partkey % 3 <> 0) n
+ FULL JOIN (SELECT p_name || p_partkey AS id, p_brand, p_size FROM part WHERE p_partkey % 4 <> 0) r ON n.id = r.id"""
+
+
+@query(f"SELECT id, name_lc, entity_type, description, array_to_string(source_ids, ',') AS sources, CAST(len(source_ids) AS INTEGER) AS source_count FROM ({_ENT})")
+def serving_entities(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").withColumn("id", F.concat("p_name", F.col("p_partkey").cast("string")))
+    none = F.array().cast("array<string>")
+    nodes = part.where("p_partkey % 3 <> 0").select("id", F.col("p_type").alias("entity_type"), F.expr("if(p_partkey % 5 = 0, '', p_brand)").alias("description"), F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("x1"))).otherwise(none).alias("source_ids"), none.alias("file_paths"))
+    records = part.where("p_partkey % 4 <> 0").select("id", F.col("p_brand").alias("content"), F.concat(F.lit("a"), F.col("p_size").cast("string"), F.lit("<SEP> b<SEP>")).alias("source_id"), F.lit(None).cast("string").alias("file_path"), F.array().cast("array<float>").alias("embedding"))
+    return serving.entity_rows(nodes, records).select("id", "name_lc", "entity_type", "description", F.array_join("source_ids", ",").alias("sources"), "source_count")
+
+
+@query(f"""SELECT 'doc_status' AS metric, coalesce(status, 'unknown') AS key, count(*) AS value FROM ({_DOC_STATUS}) GROUP BY 2
+ UNION ALL SELECT 'rows', 'mentions', count(*) FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) UNION ALL SELECT 'rows', 'next_chunks', (SELECT count(*) - count(DISTINCT conv_id) FROM conversations) UNION ALL SELECT 'rows', 'document_chunks', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+def serving_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of links, and documents by status."""
+    lines = table(spark, sf, "lineitem")
+    mentions = serving.mention_rows(lines.groupBy(F.col("l_partkey").cast("string").alias("id")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("chunk_ids")))
+    turns = table(spark, sf, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), F.col("conv_id").cast("string").alias("full_doc_id"), F.col("turn").cast("int").alias("chunk_order_index"))
+    listed = lines.groupBy(F.col("l_orderkey").cast("string").alias("id")).agg(F.collect_list(F.col("l_linenumber").cast("string")).alias("chunks_list"))
+    tables = {"mentions": mentions, "next_chunks": serving.next_chunk_rows(turns), "document_chunks": serving.document_chunk_rows(listed)}
+    return serving.load_summary(tables, _doc_status(spark, sf))
+
+
+# --- a whole retrieval: regions ask for nations (by name, with one edit, by a part of a name, or for nothing there is), whose documents answer
+
+_ASKS = "SELECT r_regionkey AS query_id, CASE r_regionkey WHEN 0 THEN 'Landaaia landbbi' WHEN 1 THEN 'landccix 7' WHEN 2 THEN 'andd' WHEN 3 THEN 'nation 3' ELSE 'zzzz' END AS query FROM region"
+_ENTS = "SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, concat('land', chr(97 + n_nationkey % 25), chr(97 + n_nationkey % 5), 'ia') AS name, concat('nation ', CAST(n_nationkey AS STRING)) AS description, n_nationkey % 7 AS source_count FROM nation"
+_NEAR = "SELECT CAST(a.n_nationkey * 100 + b.n_nationkey AS BIGINT) AS edge_id, concat('n', CAST(a.n_nationkey AS STRING)) AS src, concat('n', CAST(b.n_nationkey AS STRING)) AS dst, CAST((a.n_nationkey * 7 + b.n_nationkey * 3) % 11 AS DOUBLE) AS weight, concat(a.n_name, ' to ', b.n_name) AS description, [CAST(a.n_nationkey AS STRING), CAST(b.n_nationkey + 30 AS STRING)] AS chunk_ids FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey"
+_FOUND = rf"""a AS MATERIALIZED ({_ASKS}), en AS MATERIALIZED ({_ENTS}), qt AS MATERIALIZED (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(query), '[\p{{L}}\p{{N}}]+')) AS term FROM a),
+ et AS MATERIALIZED (SELECT id, unnest(ts) AS term, len(ts) AS len FROM (SELECT id, regexp_extract_all(lower(concat_ws(' ', name, description)), '[\p{{L}}\p{{N}}]+') AS ts FROM en)),
+ tf AS MATERIALIZED (SELECT id, term, len, count(*) AS tf FROM et GROUP BY ALL), cs AS (SELECT CAST(count(*) AS DOUBLE) AS n_docs, (SELECT avg(len) FROM (SELECT DISTINCT id, len FROM tf)) AS avg_len FROM en),
+ wt AS MATERIALIZED (SELECT query_id, term FROM qt UNION SELECT query_id, t.term FROM qt, (SELECT DISTINCT term FROM tf) t WHERE length(qt.term) >= 4 AND NOT regexp_full_match(qt.term, '[0-9]+') AND levenshtein(qt.term, t.term) <= 1),
+ df AS (SELECT term, count(*) AS df FROM tf GROUP BY term), sc AS (SELECT query_id, id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))), 6) AS score FROM wt JOIN tf USING (term) JOIN df USING (term), cs GROUP BY query_id, id),
+ ft AS (SELECT query_id, id, score, 'entity_fulltext' AS source, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM sc),
+ fb AS (SELECT query_id, id, 0.0 AS score, 'entity_contains' AS source, CAST(row_number() OVER (PARTITION BY query_id ORDER BY source_count DESC, id) AS INTEGER) AS rank FROM a JOIN en ON contains(lower(concat_ws(' ', name, description)), lower(query)) WHERE query_id NOT IN (SELECT query_id FROM ft)),
+ fd AS MATERIALIZED (SELECT * FROM (SELECT * FROM ft UNION ALL SELECT * FROM fb) WHERE rank <= 8)"""
+_PATHS = f"""ed AS MATERIALIZED ({_NEAR}), bo AS MATERIALIZED (SELECT edge_id, src AS x, dst AS y, weight AS w FROM ed UNION ALL SELECT edge_id, dst, src, weight FROM ed),
+ pa(seed, node, path, weight) AS (SELECT id, id, CAST([] AS BIGINT[]), CAST(0 AS DOUBLE) FROM (SELECT DISTINCT id FROM fd) UNION ALL SELECT seed, y, list_append(path, edge_id), weight + w FROM pa JOIN bo ON node = x AND NOT list_contains(path, edge_id) WHERE len(path) < 2),
+ ps AS MATERIALIZED (SELECT seed, node, path, weight FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY weight DESC, len(path), path) AS r FROM pa WHERE node <> seed) WHERE r <= 4),
+ re AS MATERIALIZED (SELECT * FROM (SELECT fd.query_id, ps.*, CAST(row_number() OVER (PARTITION BY fd.query_id ORDER BY weight DESC, len(path), seed, path) AS INTEGER) AS rank FROM fd JOIN ps ON fd.id = ps.seed) WHERE rank <= 12)"""
+_CHUNKS = f"""cl AS MATERIALIZED (SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY r, s, i) AS INTEGER) AS rank FROM (SELECT query_id, id, min((r, 2 * s + i)) AS m, min(r) AS r, arg_min(s, r * 100 + 2 * s + i) AS s, arg_min(i, r * 100 + 2 * s + i) AS i FROM (
+  SELECT query_id, re.rank AS r, s, i, ed.chunk_ids[i] AS id FROM (SELECT *, unnest(range(1, len(path) + 1)) AS s FROM re) re JOIN ed ON ed.edge_id = re.path[s], (SELECT unnest([1, 2]) AS i)) GROUP BY query_id, id)),
+ mc AS (SELECT query_id, doc, count(DISTINCT id) AS n FROM fd JOIN (SELECT CAST(doc_id AS STRING) AS doc, concat('n', CAST(doc_id % 25 AS STRING)) AS e FROM documents UNION SELECT CAST(doc_id AS STRING), concat('n', CAST(doc_id % 7 AS STRING)) FROM documents) ON e = id GROUP BY ALL),
+ mr AS (SELECT query_id, doc AS id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc) AS INTEGER) AS rank FROM mc),
+ tx AS (SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY id) AS INTEGER) AS rank FROM (SELECT r_regionkey AS query_id, CAST(doc_id AS STRING) AS id FROM region JOIN documents ON doc_id % 5 = r_regionkey)),
+ ls AS (SELECT query_id, id, rank, 'text' AS source, 0.7 AS weight FROM tx WHERE rank <= 10 UNION ALL SELECT query_id, id, rank, 'entity_mentions', 1.0 FROM mr WHERE rank <= 10 UNION ALL SELECT query_id, id, rank, 'relation_evidence', 1.0 FROM cl WHERE rank <= 10),
+ ch AS MATERIALIZED (SELECT query_id, id, sources, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (SELECT query_id, id, round(sum(weight / (60 + rank)), 8) AS score, string_agg(source, '+' ORDER BY source) AS sources FROM ls GROUP BY query_id, id))"""
+
+
+def _retrieved(spark, sf):
+    nation = table(spark, sf, "nation")
+    asks = table(spark, sf, "region").selectExpr(*_ASKS.removeprefix("SELECT ").removesuffix(" FROM region").split(", ", 1))
+    ents = nation.selectExpr("concat('n', CAST(n_nationkey AS STRING)) AS id", "concat('land', chr(97 + n_nationkey % 25), chr(97 + n_nationkey % 5), 'ia') AS name", "concat('nation ', CAST(n_nationkey AS STRING)) AS description", "n_nationkey % 7 AS source_count")
+    a, b = (nation.select(F.col("n_nationkey").alias(f"{x}k"), F.col("n_name").alias(f"{x}n"), "n_regionkey") for x in "ab")
+    edges = a.join(b, "n_regionkey").where("ak < bk").selectExpr("CAST(ak * 100 + bk AS BIGINT) AS edge_id", "concat('n', CAST(ak AS STRING)) AS src", "concat('n', CAST(bk AS STRING)) AS dst", "CAST((ak * 7 + bk * 3) % 11 AS DOUBLE) AS weight", "concat(an, ' to ', bn) AS description", "array(CAST(ak AS STRING), CAST(bk + 30 AS STRING)) AS chunk_ids")
+    docs = table(spark, sf, "documents").select("doc_id")
+    mentions = docs.selectExpr("CAST(doc_id AS STRING) AS chunk_id", "concat('n', CAST(doc_id % 25 AS STRING)) AS entity").union(docs.selectExpr("CAST(doc_id AS STRING)", "concat('n', CAST(doc_id % 7 AS STRING))"))
+    text = rt.top_k(docs.selectExpr("CAST(doc_id % 5 AS INT) AS query_id", "CAST(doc_id AS STRING) AS id", "0.0D AS score").join(table(spark, sf, "region").selectExpr("CAST(r_regionkey AS INT) AS query_id"), "query_id"), 10)
+    return asks, rt.graph_retrieve(ents, edges, mentions, [("text", 0.7, text)], asks)
+
+
+@query(f"WITH {_FOUND} SELECT query_id, rank, id, score, source FROM fd")
+def entity_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities by full text with fuzzy terms; a query without hits falls back to holding its text."""
+    return _retrieved(spark, sf)[1][0].select("query_id", "rank", "id", "score", "source")
+
+
+@query(f"WITH RECURSIVE {_FOUND}, {_PATHS} SELECT query_id, rank, seed, node, array_to_string(path, ',') AS path, weight, array_to_string([(SELECT description FROM ed WHERE edge_id = x) FOR x IN path], ' | ') AS description FROM re".replace("array_to_string([(SELECT description FROM ed WHERE edge_id = x) FOR x IN path], ' | ')", "(SELECT string_agg(description, ' | ' ORDER BY list_position(path, edge_id)) FROM ed WHERE list_contains(path, edge_id))"))
+def graph_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The relations around what was found, with descriptions."""
+    return _retrieved(spark, sf)[1][1].select("query_id", "rank", "seed", "node", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"), "weight", "description")
+
+
+@query(f"""WITH RECURSIVE {_FOUND}, {_PATHS}, {_CHUNKS}, vc AS (SELECT r_regionkey AS query_id, CAST(doc_id AS STRING) AS id, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY CAST(doc_id AS STRING)) AS INTEGER) AS rank FROM region JOIN documents ON doc_id % 6 = r_regionkey),
+ ol AS (SELECT query_id, id, rank, 'graph' AS source, 1.0 AS weight FROM ch WHERE rank <= 10 UNION ALL SELECT query_id, id, rank, 'vector', 0.9 FROM vc WHERE rank <= 10)
+ SELECT query_id, rank, id, sources FROM (SELECT query_id, id, sources, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (SELECT query_id, id, round(sum(weight / (60 + rank)), 8) AS score, string_agg(source, '+' ORDER BY source) AS sources FROM ol GROUP BY query_id, id)) WHERE rank <= 10""")
+def whole_retrieve(spark: SparkSession, sf: str) -> DataFrame:
+    """Graph and vector branches and the second fusion."""
+    _, (_, _, chunks) = _retrieved(spark, sf)
+    docs = table(spark, sf, "documents").selectExpr("CAST(doc_id % 6 AS INT) AS query_id", "CAST(doc_id AS STRING) AS id", "0.0D AS score")
+    vector = rt.top_k(docs.join(table(spark, sf, "region").selectExpr("CAST(r_regionkey AS INT) AS query_id"), "query_id"), 10)
+    return rt.outer_fusion(chunks, vector, 10, 1.0, 0.9).select("query_id", "rank", "id", "sources")
+
+
+@query(f"""WITH RECURSIVE {_FOUND}, {_PATHS}, {_CHUNKS}, tl AS (SELECT ch.query_id, ch.rank, left(d.text, 900) AS line FROM ch JOIN documents d ON CAST(d.doc_id AS STRING) = ch.id WHERE ch.rank <= 10), us AS (SELECT *, sum(length(line)) OVER (PARTITION BY query_id ORDER BY rank) AS used FROM tl)
+ SELECT query_id, 1 AS section, rank, sha256(id) AS line_hash FROM fd WHERE rank <= 8 UNION ALL SELECT query_id, 2, rank, sha256(concat(seed, '>', node)) FROM re WHERE rank <= 12 UNION ALL SELECT query_id, 3, rank, sha256(line) FROM us WHERE used <= 3000""")
+def context_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """The packed context: entities, relations, chunks within the budget."""
+    _, (found, relations, chunks) = _retrieved(spark, sf)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.expr("left(text, 900)").alias("line"))
+    packed = rt.pack_sections(found.withColumn("line", F.col("id")), relations.withColumn("line", F.concat("seed", F.lit(">"), "node")), chunks.join(docs, "id"), budget=3000)
+    return packed.select("query_id", "section", "rank", F.sha2("line", 256).alias("line_hash"))
+
+
 # --- evaluation: each assistant turn against the user turn before it
 
 _FORM = r"trim(regexp_replace(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -173,6 +313,19 @@ def _pairs(spark, sf):
     return u.join(a, ["conv_id", "turn"])
 
 
+_CTX_F1 = _F1.replace("SELECT u.conv_id, u.turn, u.text AS question", "SELECT u.conv_id, u.turn, (SELECT string_agg(coalesce(c.text, ''), chr(10) ORDER BY c.turn) FROM conversations c WHERE c.conv_id = u.conv_id AND c.turn < u.turn) AS question")
+
+
+@query(f"WITH {_CTX_F1} SELECT conv_id, turn, f1 AS answer_context_f1 FROM f1")
+def answer_context_f1(spark: SparkSession, sf: str) -> DataFrame:
+    """Each answer against all turns before its question."""
+    c = table(spark, sf, "conversations")
+    answers = _pairs(spark, sf).select("conv_id", "turn", "answer")
+    before = c.select("conv_id", F.col("turn").alias("at"), F.col("text").alias("chunk"))
+    chunks = answers.select("conv_id", "turn").join(before, "conv_id").where("at < turn")
+    return ev.answer_context_f1(answers, chunks, ["conv_id", "turn"], "at")
+
+
 @query(f"WITH {_F1} SELECT * FROM f1")
 def token_f1(spark: SparkSession, sf: str) -> DataFrame:
     return ev.token_f1(_pairs(spark, sf), ["conv_id", "turn"], "question", "answer")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from pathlib import Path
 
@@ -34,14 +35,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package, and makes checkpoint() usable.
 
     The shared folder is the one that the cluster names in spark.checkpoint.dir; only
-    where that is unset (tests, local runs) a folder of our own is taken.
+    where that is unset on a local master (tests, local runs) a folder of our own is taken. On a
+    cluster it must be set: executors would not see a folder of the driver.
     """
     context = spark.sparkContext
     paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         context.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="loomgraph-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not re.match(r"local(\[|$)", context.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="loomgraph-")
+        context.setCheckpointDir(folder)
     return spark
 
 

@@ -74,6 +74,11 @@ class Lake:
         return self.write(rows, table, run_id)
 
 
+def write_rejects(lake: Lake, rejected: DataFrame, table: str, run_id: str) -> int:
+    """Refused rows below logs/<table>, one version a run; how many they are."""
+    return lake.write(rejected, f"logs/{table}", run_id).count()
+
+
 def latest_version(versions: DataFrame, table: str = "table", run_id: str = "run_id") -> DataFrame:
     """The relational form: the greatest run_id of each table."""
     return versions.groupBy(table).agg(F.max(run_id).alias("latest"))
@@ -137,7 +142,8 @@ def read_objects(spark: SparkSession, keys: DataFrame, root: str, schema: str) -
 
     Files are listed and matched with the keys by their paths; only those wanted are read and parsed.
     """
-    at = F.regexp_replace("path", "^.*" + re.escape(root.rstrip("/").replace("file:", "")) + "/", "")
+    folder = re.sub(r"^[A-Za-z0-9]+:/*", "", root).strip("/")
+    at = F.regexp_replace("path", "^.*?" + re.escape(folder) + "/", "")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     wanted = keys.select("object_key").distinct()
     stored = files.select(at.alias("object_key"), "path", "content").join(wanted, "object_key", "left_semi")

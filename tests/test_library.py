@@ -154,3 +154,62 @@ def test_neighbourhood_uses_no_edge_twice(spark):
     e = spark.createDataFrame([(1, "a", "b", 2.0), (2, "b", "c", 1.0), (3, "c", "a", None)], "edge_id long, src string, dst string, weight double")
     got = rt.neighbourhood(e, spark.createDataFrame([("a",)], "id string"), 3).collect()
     assert sorted((r.node, r.path, r.weight) for r in got) == [("b", [1], 2.0), ("b", [3, 2], 1.0), ("c", [1, 2], 3.0), ("c", [3], 0.0)]
+
+
+def test_serving_load(spark, tmp_path):
+    """Merges by key over versions, a reset, repeated keys and a failing store."""
+    from loomgraph.operators import serving
+    from loomgraph.plans.runner import InvariantError
+    from loomgraph.sources.catalog import Lake, write_rejects
+
+    lake = Lake(spark, f"file://{tmp_path}/lake")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, content string")
+    assert serving.load(lake, "r1", {"chunks": rows(("a", "1"), ("b", "2"))}) == {"chunks": 2}
+    assert serving.load(lake, "r2", {"chunks": rows(("b", "3"), ("c", "4"))}) == {"chunks": 3}
+    assert sorted(map(tuple, lake.read("chunks").collect())) == [("a", "1"), ("b", "3"), ("c", "4")]
+    assert serving.load(lake, "r3", {"chunks": rows(("z", "0"))}, reset=True) == {"chunks": 1}
+    with pytest.raises(InvariantError):
+        serving.load(lake, "r4", {"chunks": rows(("a", "1"), ("a", "2"))})
+    vectors = spark.createDataFrame([("a", [1.0, 2.0])], "id string, embedding array<double>")
+    out = serving.fan_out({"index": lambda: serving.load_vectors(lake, "r1", vectors, 2), "other": lambda: serving.load_vectors(lake, "r2", vectors, 3)})
+    assert out["index"] == ("LOADED", 1) and out["other"][0] == "FAILED"
+    assert write_rejects(lake, rows(("x", "bad")), "chunks", "r1") == 1
+
+
+def test_stored_objects_by_key(spark, tmp_path):
+    from loomgraph.sources.catalog import read_objects, render_markdown
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.json").write_text('{"a": 1}')
+    (tmp_path / "d" / "2.json").write_text("{broken")
+    (tmp_path / "d" / "9.json").write_text('{"a": 9}')
+    keys = spark.createDataFrame([("d/1.json",), ("d/2.json",), ("d/3.json",), ("d/1.json",)], "object_key string")
+    got = {r.object_key: (r.object and r.object.a, r.found, r.error) for r in read_objects(spark, keys, f"file://{tmp_path}", "a int").collect()}
+    assert got == {"d/1.json": (1, True, None), "d/2.json": (None, True, "invalid_json"), "d/3.json": (None, False, "missing")}
+    metrics = spark.createDataFrame([("m", str(k), 1.0) for k in range(5)], "metric string, key string, value double")
+    assert "Only the first 3 rows" in render_markdown("t", metrics, 3) and "Only" not in render_markdown("t", metrics, 5)
+
+
+def test_summary_of_a_results_file(spark, tmp_path):
+    from loomgraph.operators import evaluation as ev
+
+    path = tmp_path / "results.jsonl"
+    path.write_text('{"id": "a", "f1": 0.5}\n{"id": "b", "f1": null}\n{"id": "c", "error": "x", "f1": 0.9}\n')
+    summary, ranked = ev.summary_from_file(spark, str(path), ["f1", "absent"])
+    row = summary.first()
+    assert (row["items"], row.completed, row.avg_f1, row.avg_absent) == (3, 2, 0.5, None)
+    assert [r.id for r in ranked.collect()] == ["c", "a", "b"]
+
+
+def test_clock_and_scalars(spark):
+    from datetime import datetime, timezone
+
+    from loomgraph.functions import jsons
+    from loomgraph.operators import documents
+
+    now = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
+    assert documents.run_id_of(now) == "run_20240506T070809Z"
+    df = documents.tagged(spark.createDataFrame([("entity", "7"), ("event", "x")], "node_type string, v string"), "r1", "v2", now)
+    assert [(r.run_id, r.schema_version) for r in df.collect()] == [("r1", "v2")] * 2
+    assert [r.i for r in df.select(jsons.safe_int("v").alias("i")).collect()] == [7, None]
+    assert documents.of_types(df, ["event"]).count() == 1
