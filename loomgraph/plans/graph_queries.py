@@ -467,21 +467,27 @@ def pagerank_by_stage(spark: SparkSession, sf: str) -> DataFrame:
     return graph.pagerank(fx.transitions(spark, sf), 10, group="relation").select("relation", "id", F.round("rank", 6).alias("rank"))
 
 
-#: Parts that share a supplier and a size: many components, some large.
-_LINKS = "SELECT DISTINCT concat('s', CAST(s_suppkey AS STRING)) AS src, concat('n', CAST(s_nationkey AS STRING)) AS dst FROM supplier UNION SELECT DISTINCT concat('c', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)) FROM customer"
+#: Stars (suppliers and customers with their nation) and long paths (the events of a user, each to the next).
+_STARS = "SELECT concat('s', CAST(s_suppkey AS STRING)) AS node, s_nationkey AS k FROM supplier UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), c_nationkey FROM customer"
+_PATHS = "SELECT concat('e', CAST(event_id AS STRING)) AS node, user_id AS k, count(*) OVER (PARTITION BY user_id) AS n FROM events"
+_PARTS = f"""SELECT node, min(node) OVER (PARTITION BY k) AS component FROM ({_STARS} UNION ALL SELECT DISTINCT concat('n', CAST(k AS STRING)), k FROM ({_STARS}))
+ UNION ALL SELECT node, min(node) OVER (PARTITION BY k) FROM ({_PATHS}) WHERE n > 1"""
 
 
 def _links(spark, sf):
     s = fx.table(spark, sf, "supplier").selectExpr("concat('s', CAST(s_suppkey AS STRING)) AS src", "concat('n', CAST(s_nationkey AS STRING)) AS dst")
-    return s.union(fx.table(spark, sf, "customer").selectExpr("concat('c', CAST(c_custkey AS STRING))", "concat('n', CAST(c_nationkey AS STRING))")).distinct()
+    stars = s.union(fx.table(spark, sf, "customer").selectExpr("concat('c', CAST(c_custkey AS STRING))", "concat('n', CAST(c_nationkey AS STRING))"))
+    following = "lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS later"
+    paths = fx.table(spark, sf, "events").selectExpr("event_id", following).where("later is not null").selectExpr("concat('e', CAST(event_id AS STRING))", "concat('e', CAST(later AS STRING))")
+    return stars.union(paths)
 
 
-@query(f"WITH e AS ({_LINKS}), c AS (SELECT dst, least(min(src), dst) AS component FROM e GROUP BY dst) SELECT src AS node, component FROM e JOIN c USING (dst) UNION ALL SELECT dst, component FROM c")
+@query(_PARTS)
 def components(spark: SparkSession, sf: str) -> DataFrame:
     return connected_components(_links(spark, sf))
 
 
-@query(f"WITH e AS ({_LINKS}), c AS (SELECT dst, least(min(src), dst) AS component, count(*) + 1 AS size FROM e GROUP BY dst) SELECT component, size FROM c")
+@query(f"SELECT component, count(*) AS size FROM ({_PARTS}) GROUP BY component")
 def component_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return graph.component_sizes(_links(spark, sf))
 
