@@ -68,12 +68,24 @@ def text_dedup_hash(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").groupBy(F.sha2("text", 256).alias("text_hash")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
 
 
-@query()
+#: Greedy chunks as a recursion over word positions a..b: c[i] is the length of the first i words with a space after each. No word is longer than a chunk.
+_CHUNKED = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS ws FROM documents),
+ u AS (SELECT doc_id, ws, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w WHERE len(ws) > 0), s AS (SELECT doc_id, i, sum(length(word) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM u),
+ d AS MATERIALIZED (SELECT w.doc_id, w.ws, len(w.ws) AS n, x.c FROM w JOIN (SELECT doc_id, list(CAST(c AS BIGINT) ORDER BY i) AS c FROM s GROUP BY doc_id) x USING (doc_id)),
+ r(doc_id, k, a, b) AS (SELECT doc_id, 0, 1, greatest(1, len([x FOR x IN c IF x <= 3001])) FROM d
+  UNION ALL SELECT doc_id, k + 1, a2, greatest(b + 1, len([x FOR x IN c IF x <= 3001 + CASE WHEN a2 > 1 THEN c[a2 - 1] ELSE 0 END])) FROM (
+   SELECT r.doc_id, k, b, c, greatest(a, 1 + CASE WHEN c[b] - 201 > 0 THEN 1 ELSE 0 END + len([x FOR x IN c IF x < c[b] - 201])) AS a2 FROM r JOIN d USING (doc_id) WHERE b < n)),
+ t AS (SELECT r.doc_id, k, array_to_string(ws[a:b], ' ') AS x FROM r JOIN d USING (doc_id)),
+ f AS (SELECT *, max(length(x)) OVER (PARTITION BY doc_id) AS longest, row_number() OVER (PARTITION BY doc_id ORDER BY length(x) DESC, k) AS place FROM t)
+ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER) AS chunk_id, x FROM f WHERE length(x) >= 50 OR (longest < 50 AND place = 1)"""
+
+
+@query(f"SELECT doc_id, chunk_id, sha256(x) AS chunk_hash FROM ({_CHUNKED})")
 def document_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return docs_.chunk_documents(table(spark, sf, "documents"), most=None).select("doc_id", "chunk_id", "chunk_hash")
 
 
-@query()
+@query(f"SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS chunks, round(avg(n), 6) AS avg_chunks, max(n) AS max_chunks, round(sum(chars) / sum(n), 6) AS avg_chars FROM (SELECT doc_id, count(*) AS n, sum(length(x)) AS chars FROM ({_CHUNKED}) GROUP BY doc_id)")
 def chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
     return docs_.chunk_stats(docs_.chunk_documents(table(spark, sf, "documents"), most=None))
 
