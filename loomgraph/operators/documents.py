@@ -66,8 +66,9 @@ def cardinality(requests: DataFrame) -> DataFrame:
 
 
 def even_partitions(requests: DataFrame, workers: int, rows_each: int = 50, key: str = "request_id") -> DataFrame:
-    """For calls to a model: at most `workers` partitions by key, sorted."""
-    return requests.repartition(max(1, workers), key).sortWithinPartitions(key)
+    """For calls to a model: partitions by key, sorted; at most `workers`, and only so many that each has about rows_each rows or more."""
+    parts = max(1, min(workers, -(-requests.count() // max(1, rows_each))))
+    return requests.repartition(parts, key).sortWithinPartitions(key)
 
 
 def reject_reason(text: Column, kind_ok: Column, least: int = 1) -> Column:

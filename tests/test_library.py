@@ -213,3 +213,12 @@ def test_clock_and_scalars(spark):
     assert [(r.run_id, r.schema_version) for r in df.collect()] == [("r1", "v2")] * 2
     assert [r.i for r in df.select(jsons.safe_int("v").alias("i")).collect()] == [7, None]
     assert documents.of_types(df, ["event"]).count() == 1
+
+
+def test_partitions_for_calls(spark):
+    from loomgraph.operators import documents
+
+    rows = spark.range(120).selectExpr("CAST(id AS STRING) AS request_id")
+    assert documents.even_partitions(rows, 8, rows_each=50).rdd.getNumPartitions() == 3
+    assert documents.even_partitions(rows, 2, rows_each=50).rdd.getNumPartitions() == 2
+    assert documents.even_partitions(rows.limit(0), 8).count() == 0
