@@ -13,7 +13,8 @@ long, is held in memory. The digests of a conversation are hashes over its whole
 which only one reader can compute; what is shuffled to it are the pieces.
 
 Null texts and roles count as empty; null turns come first; null conversation ids are one
-conversation. Repeated rows are messages of their own. Empty tables give empty tables.
+conversation. Repeated rows are messages of their own. Texts of any length are kept whole, in deltas of
+bounded number. Empty tables give empty tables. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

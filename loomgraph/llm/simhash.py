@@ -127,26 +127,26 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id"
 
 
 def _ring_keys(fps: DataFrame) -> DataFrame:
-    """key, own, id (the fingerprint): the places where a 64-bit fingerprint is filed (own) or looks."""
+    """key, size (1: filed there, -1: looks there), id (the fingerprint) of 64-bit fingerprints."""
 
     def run(batches):
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            keys, who, own = [], [], []
+            keys, who, size = [], [], []
             for i in range(4):
                 ring = np.bitwise_or(fp << np.uint64(16 * i), fp >> np.uint64((64 - 16 * i) % 64)) if i else fp
                 key = (ring >> np.uint64(32)) | np.uint64(i << 32)
                 keys.append(key)
                 who.append(fp)
-                own.append(np.ones(len(fp), bool))
+                size.append(np.ones(len(fp), np.int32))
                 for bit in range(16):
                     has = (key >> np.uint64(bit)) & np.uint64(1) == 1
                     keys.append(key[has] ^ np.uint64(1 << bit))
                     who.append(fp[has])
-                    own.append(np.zeros(int(has.sum()), bool))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(own)), pa.array(np.concatenate(who).view(np.int64))], ["key", "own", "id"])
+                    size.append(np.full(int(has.sum()), -1, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(size)), pa.array(np.concatenate(who).view(np.int64))], ["key", "size", "id"])
 
-    return fps.mapInArrow(run, "key bigint, own boolean, id bigint")
+    return fps.mapInArrow(run, "key bigint, size int, id bigint")
 
 
 class _Forest:
@@ -207,16 +207,20 @@ def _compare_large(ring: Ring, forest: _Forest, start: int, left: np.ndarray, ri
                 own = new
 
 
-def _links(keys: DataFrame, block: int, ring: Ring, fps: DataFrame | None = None) -> DataFrame:
+def _links(keys: DataFrame, block: int, ring: Ring, fps: DataFrame | None = None, least: tuple[int, int] = (0, 1)) -> DataFrame:
     """(src, dst): links of ids that suffice for the components.
 
-    keys: key (the start of the chain above ring.width or 32 bits), own, id; fps: id, f0 ... of each
-    lane; without it the id is the fingerprint.
+    keys: key (the start of the chain above ring.width or 32 bits), size (of the set; negative where the id only
+    looks), id; fps: id, f0 ... of each lane; without it the id is the fingerprint. Sets whose sizes are not
+    within the fraction `least` of each other can't link: where only such meet, their rows go at once.
     """
+    num, den = least
     lanes = [f"f{k}" for k in range(ring.lanes)]
     shift = 32 if fps is None else ring.width
-    counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("any_own")).where("n > 1 and any_own").select("key", "n")
-    live = keys.join(counts, "key")
+    size, own = F.abs("size").cast("bigint"), F.when(F.col("size") > 0, F.col("size"))
+    counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min(own).alias("own_lo"), F.max(own).alias("own_hi"), F.min(size).alias("lo"), F.max(size).alias("hi"))
+    counts = counts.where(f"n > 1 and own_lo is not null and (n > 2 or lo * {den} >= hi * {num})").select("key", "n", "own_lo", "own_hi")
+    live = keys.join(counts, "key").where(f"size > 0 or own_hi * {den}L >= abs(size) * {num}L and own_lo * {num}L <= abs(size) * {den}L").withColumn("own", F.col("size") > 0)
     live = live.withColumn("f0", F.col("id")) if fps is None else live.join(fps, "id")
     blocks = F.ceil(F.col("n") / block).cast("int")
     live = live.select("key", "own", "id", *lanes, blocks.alias("nb"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("c"))
@@ -357,24 +361,24 @@ def _marked(docs: DataFrame, rank: Column, text_col: str, words: int, ring: Ring
 
 
 def _probe_keys(reps: DataFrame, ring: Ring) -> DataFrame:
-    """key, own, id: where the fingerprints of reps (key, f0 ..., weak) are filed or look."""
+    """key, size (negative where it only looks), id: where the fingerprints of reps (key, n, f0 ..., weak) are filed or look."""
     lanes = [f"f{k}" for k in range(ring.lanes)]
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = np.stack([batch.column(1 + k).to_numpy(zero_copy_only=False) for k in range(ring.lanes)], axis=1)
+            sizes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
+            fps = np.stack([batch.column(2 + k).to_numpy(zero_copy_only=False) for k in range(ring.lanes)], axis=1)
             values = ring.cut(np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")) @ (1 << np.arange(ring.width))
-            weak = np.frombuffer(b"".join(batch.column(1 + ring.lanes).to_pylist()), np.uint8).reshape(-1, ring.segments, 4)
+            weak = np.frombuffer(b"".join(batch.column(2 + ring.lanes).to_pylist()), np.uint8).reshape(-1, ring.segments, 4)
             for i in range(ring.segments):
                 flips = 1 << weak[:, i].astype(np.int64)
                 looked = [values[:, i], *(values[:, i] ^ np.bitwise_or.reduce(flips[:, list(p)], axis=1) for p in PROBES)]
                 keys = np.concatenate(looked) | i << ring.width
-                own = np.zeros(len(keys), bool)
-                own[: len(ids)] = True
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own), pa.array(np.tile(ids, len(looked)))], ["key", "own", "id"])
+                size = np.concatenate([sizes, np.tile(-sizes, len(PROBES))])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(size), pa.array(np.tile(ids, len(looked)))], ["key", "size", "id"])
 
-    return reps.select("key", *lanes, "weak").mapInArrow(run, "key bigint, own boolean, id bigint")
+    return reps.select("key", "n", *lanes, "weak").mapInArrow(run, "key bigint, size int, id bigint")
 
 
 def _confirmed(docs: DataFrame, reps: DataFrame, loose: DataFrame, least: tuple[int, int], text_col: str, words: int, ring: Ring, block_shingles: int) -> DataFrame:
@@ -454,7 +458,7 @@ def similar_texts(docs: DataFrame, rank: Column, words: int = 5, least: tuple[in
     marked = cut(_marked(docs, rank, text_col, words, ring))
     reps = cut(marked.groupBy("key", "n").agg(F.min(F.struct("rank", "r1", "r2")).alias("best"), *(F.min(c).alias(c) for c in lanes), F.min("weak").alias("weak")))
     filled = reps.where("n > 0")
-    loose = connected_components(_links(_probe_keys(filled, ring), block, ring, filled.select(F.col("key").alias("id"), *lanes)))
+    loose = connected_components(_links(_probe_keys(filled, ring), block, ring, filled.select(F.col("key").alias("id"), *lanes), least))
     links = _confirmed(docs, reps, loose, least, text_col, words, ring, block_shingles)
     parts = connected_components(links).withColumnRenamed("node", "key")
     members = cut(reps.select("key", "best").join(parts, "key", "left").select("key", "best", F.coalesce("component", "key").alias("part")))

@@ -13,7 +13,7 @@ Components become floor(scale * x), computed as double. Vectors that are null or
 or a component that isn't finite take no part, nor do rows without an id; empty tables give no rows.
 Of vectors of different lengths the shorter one counts as padded with zeros. Rows of one vec_id are
 candidates each; a query id asks once, with the least of its vectors, and never finds rows of its own
-id. Scores beyond the long range are clamped to it. Other columns, whatever their names, are not read.
+id. Scores beyond the long range are clamped to it; vectors may be of any length, and those of a block are held together. Other columns, whatever their names, are not read.
 
 Skew: equal vectors are one entry with the ids that any query can find among them (the k + 1 least,
 each at most k times), however many rows hold them. Entries and queries are dealt into blocks of bounded
