@@ -32,6 +32,8 @@ from loomgraph.session import cut, prepare
 
 _EXACT = float(1 << 52)
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
+#: Bytes of all queries' vectors up to which they are broadcast.
+BROADCAST = 32 << 20
 
 
 def _product(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -102,8 +104,13 @@ def survivors(vectors: DataFrame, queries: DataFrame, cutoffs: DataFrame | None,
 
 
 def resolved(pairs: DataFrame, vectors: DataFrame, queries: DataFrame, width: int, scale: float) -> DataFrame:
-    """query_id, vec_id, score of the rows of the entries of pairs."""
-    both = pairs.join(vectors.withColumnRenamed("x", "v"), "rid").join(queries.withColumnRenamed("x", "q"), "query_id").select("query_id", "q", "v", "ids")
+    """query_id, vec_id, score of the rows of the entries of pairs.
+
+    Queries of up to BROADCAST bytes together are broadcast; more are joined by their ids.
+    """
+    asked = queries.withColumnRenamed("x", "q")
+    asked = F.broadcast(asked) if queries.count() * width * 8 <= BROADCAST else asked
+    both = pairs.join(vectors.withColumnRenamed("x", "v"), "rid").join(asked, "query_id").select("query_id", "q", "v", "ids")
 
     def run(batches):
         for batch in batches:
