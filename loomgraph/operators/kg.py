@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
+from loomgraph.session import cut, spooled
 
+#: Relations whose counts are broadcast; more are joined by Spark's choice.
+MOST_BROADCAST = 100_000
 EDGE_KEY = ["src", "dst", "relation", "edge_type", "source_doc_id", "source_chunk_id"]
 
 
@@ -62,20 +65,24 @@ def node_context(nodes: DataFrame, edges: DataFrame, top_k: int = 5, max_neighbo
     both types gets the same context.
     """
     k = max(1, min(top_k, max_neighbors))
-    pairs = edges.select("src", "relation", "dst").distinct()
+    pairs = spooled(edges.groupBy("src", "relation", "dst").agg(F.count("*").alias("n")))
     if strategy == "relation_frequency":
-        counts = edges.groupBy("relation").agg(F.count("*").alias("freq"))
-        pairs = pairs.join(counts, "relation")
+        freq = cut(pairs.groupBy("relation").agg(F.sum("n").alias("freq")))
+        few = freq.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+        pairs = pairs.join(F.broadcast(freq) if few else freq, "relation")
     else:
         pairs = pairs.withColumn("freq", F.lit(0).cast("bigint"))
 
     def side(node: str, other: str, out: str) -> DataFrame:
-        line = F.concat(F.col("src"), F.lit(" --"), F.col("relation"), F.lit("--> "), F.col("dst"))
-        df = pairs.select(F.col(node).alias("node_name"), "relation", "freq", line.alias("ctx"), F.sha2(line, 256).alias("h"))
+        # Rows move once, by node and without the texts; these are made where they are compared.
+        df = pairs.select(F.col(node).alias("node_name"), F.col(other).alias("other"), "relation", "freq").where("node_name is not null").repartition("node_name")
+        src, dst = (F.col("node_name"), F.col("other")) if node == "src" else (F.col("other"), F.col("node_name"))
+        line = F.concat(src, F.lit(" --"), F.col("relation"), F.lit("--> "), dst)
+        df = df.select("*", F.unhex(F.sha2(line, 256)).alias("h"))
         order = [F.col("freq"), F.col("h")]
         if diverse:
             df = df.withColumn("r", F.row_number().over(Window.partitionBy("node_name", "relation").orderBy(*order))).where("r = 1").drop("r")
-        df = df.withColumn("r", F.row_number().over(Window.partitionBy("node_name").orderBy(*order))).where(F.col("r") <= k)
+        df = df.withColumn("r", F.row_number().over(Window.partitionBy("node_name").orderBy(*order))).where(F.col("r") <= k).select("node_name", "r", line.alias("ctx"))
         listed = F.transform(F.sort_array(F.collect_list(F.struct("r", "ctx"))), lambda x: x["ctx"])
         return df.groupBy("node_name").agg(F.substring(F.concat_ws(" | ", listed), 1, each_chars).alias(out))
 
@@ -207,13 +214,18 @@ def text_inputs(texts: DataFrame, model: str, max_chars: int = 2000) -> DataFram
     return texts.select(F.col("text_id").alias("item_id"), F.lit("text").alias("item_type"), tx.truncate("original_text", max_chars).alias("text_for_embedding"))
 
 
-def select_inputs(inputs: DataFrame, done: DataFrame, limit: int, quotas: dict[str, int]) -> DataFrame:
+def select_inputs(inputs: DataFrame, done: DataFrame, limit: int, quotas: dict[str, int], parts: int | None = None) -> DataFrame:
     """What to embed next: by the quotas of the types, then filled up with the others; at most limit rows.
 
     phase (0 quota, 1 filler), type_rank and item_id give the order.
     """
-    left = not_yet_done(inputs, done, "item_id")
-    ranked = left.withColumn("type_rank", F.row_number().over(Window.partitionBy("item_type").orderBy("item_id")))
+    left = not_yet_done(inputs, done, "item_id").select(*inputs.columns)
+    # Of each type only the first `limit` can be selected: first those of each of its parts, then those of the type.
+    # Below 1,000 Spark keeps only so many of a part before rows move, and few parts leave least.
+    parts = parts or (16 if limit < 1000 else 256)
+    part = left.withColumn("_part", F.pmod(F.xxhash64("item_id"), F.lit(parts)))
+    first = part.withColumn("_r", F.row_number().over(Window.partitionBy("item_type", "_part").orderBy("item_id"))).where(F.col("_r") <= limit).drop("_r", "_part")
+    ranked = first.withColumn("type_rank", F.row_number().over(Window.partitionBy("item_type").orderBy("item_id")))
     table = F.create_map(*(x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))))
     phase = F.when(F.col("type_rank") <= F.coalesce(F.try_element_at(table, F.col("item_type")), F.lit(0)), 0).otherwise(1)
     return ranked.withColumn("phase", phase).orderBy("phase", "type_rank", "item_type", "item_id").limit(limit)
