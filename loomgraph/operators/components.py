@@ -1,10 +1,14 @@
-"""Connected components of an edge table by alternating large-star and small-star rounds."""
+"""Connected components of an edge table: by contraction over numbered nodes, or by alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.operators.packed import numbered
 from loomgraph.session import cut
 
 
@@ -44,3 +48,68 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     else:
         raise RuntimeError("components did not settle")
     return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+#: Links that one task joins at the end of a contraction, and the bits that number a node.
+FEW, _BITS = 50_000, 40
+
+
+def _key(no: Column, seed: int) -> Column:
+    """A random order of the nodes for each seed; the lower bits are the node."""
+    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(no, F.lit(seed)), _BITS + 1), _BITS).bitwiseOR(no)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """no, rep of all nodes of a few links."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        up.setdefault(x, x)
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = root(u), root(v)
+            up[max(a, b)] = min(a, b)
+    yield pa.RecordBatch.from_arrays([pa.array(list(up), pa.int64()), pa.array([root(x) for x in list(up)], pa.int64())], ["no", "rep"])
+
+
+def contracted_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+    """(node, component) as connected_components() gives them, for large tables: each round leaves a part of the links.
+
+    Nodes are numbered in their order. In a round each node goes to the first of its neighbours and itself in a
+    random order (one for two rounds, so that stars end in two), and links between the places are what is left. The
+    last FEW links are joined in one task; then the places are followed back.
+    """
+    given = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
+    numbers = numbered(given.select(F.explode(F.array("u", "v")).alias("id")).distinct())
+    known = [numbers.select(F.col("id").alias(c), F.col("no").alias(f"_{c}")) for c in "uv"]
+    links = given.where("u <> v").join(known[0], "u").join(known[1], "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+    links = cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    went = []
+    for k in range(max_rounds):
+        n = links.count()
+        if n <= FEW:
+            if n:
+                went.append(cut(links.coalesce(1).mapInArrow(_joined, "no bigint, rep bigint")))
+            break
+        both = links.select(F.expr("explode(array(named_struct('no', u, 'near', v), named_struct('no', v, 'near', u)))").alias("l")).select("l.no", _key(F.col("l.near"), k // 2).alias("key"))
+        first = F.least(F.min("key"), _key(F.col("no"), k // 2)).bitwiseAND(F.lit((1 << _BITS) - 1))
+        moves = cut(both.groupBy("no").agg(first.alias("rep")))
+        went.append(moves)
+        ends = links.join(moves.select(F.col("no").alias("u"), F.col("rep").alias("a")), "u").join(moves.select(F.col("no").alias("v"), F.col("rep").alias("b")), "v")
+        links = cut(ends.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    else:
+        raise RuntimeError("components did not settle")
+    place = None
+    for moves in reversed(went):
+        if place is not None:
+            moves = moves.join(place.select(F.col("no").alias("rep"), F.col("rep").alias("last")), "rep", "left").select("no", F.coalesce("last", "rep").alias("rep"))
+        place = cut(moves)
+    if place is None:
+        return numbers.select(F.col("id").alias("node"), F.col("id").alias("component"))
+    all_ = cut(numbers.join(place, "no", "left").select("id", F.coalesce("rep", "no").alias("rep")))
+    least = all_.groupBy("rep").agg(F.min("id").alias("component"))
+    return all_.join(least, "rep").select(F.col("id").alias("node"), "component")
