@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.operators.packed import numbered
-from loomgraph.session import cut
+from loomgraph.session import cut, spooled
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -113,3 +113,30 @@ def contracted_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     all_ = cut(numbers.join(place, "no", "left").select("id", F.coalesce("rep", "no").alias("rep")))
     least = all_.groupBy("rep").agg(F.min("id").alias("component"))
     return all_.join(least, "rep").select(F.col("id").alias("node"), "component")
+
+
+def picks(no: Column, near: Column, k: int = 3) -> list[Column]:
+    """Aggregates of the links of a node: up to k of its neighbours' numbers, each the first in an order of its own."""
+    masks = [F.xxhash64(no, F.lit(i)) for i in range(k)]
+    return [F.min(near.bitwiseXOR(m)).alias(f"_pick{i}") for i, m in enumerate(masks)]
+
+
+def picked(df: DataFrame, no: str = "no", k: int = 3) -> DataFrame:
+    """(u, v): the links that the aggregates of picks() chose."""
+    chosen = F.array(*(F.col(f"_pick{i}").bitwiseXOR(F.xxhash64(F.col(no), F.lit(i))) for i in range(k)))
+    return df.select(F.col(no).alias("u"), F.explode(F.array_distinct(chosen)).alias("v")).where("v is not null")
+
+
+def sparse_components(chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component: a node of it) of all links (u, v), for graphs with many more links than nodes.
+
+    Only the chosen links, a few for each node, are contracted. All links are then looked at once: those that
+    still lie between two parts, of which few are left, join the parts.
+    """
+    parts = spooled(contracted_components(chosen, "u", "v"))
+    known = [parts.select(F.col("node").alias(c), F.col("component").alias(to)) for c, to in (("u", "a"), ("v", "b"))]
+    between = cut(links.select("u", "v").where("u <> v").join(known[0], "u").select("a", "v").join(known[1], "v").where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+    if between.isEmpty():
+        return parts
+    more = contracted_components(between, "u", "v").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return parts.join(more, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))

@@ -408,7 +408,7 @@ _NODE = "SELECT DISTINCT src AS id, 'customer' AS k FROM t UNION SELECT DISTINCT
  UNION ALL (SELECT 'top_relations', relation, CAST(count(*) AS DOUBLE) AS n FROM t GROUP BY relation ORDER BY n DESC, relation LIMIT 20)""")
 def graph_report(spark: SparkSession, sf: str) -> DataFrame:
     """The graph is one component, which the SQL follows from its least node."""
-    t = spooled(fx.triples(spark, sf))
+    t = spooled(fx.triples(spark, sf).select("src", "dst", "relation", "stage"))
     nodes = spooled(t.select(F.expr("explode(array(named_struct('node_name', src, 'node_type', 'customer'), named_struct('node_name', dst, 'node_type', 'part')))").alias("n")).select("n.*").distinct())
     return graph.report(nodes, t.withColumnRenamed("stage", "edge_type"))
 
