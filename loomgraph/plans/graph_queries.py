@@ -427,13 +427,14 @@ _ENRICHED = f"SELECT DISTINCT src, dst, relation, CASE WHEN src >= 'c5' THEN 'MA
  UNION ALL SELECT 'quality', 'orphan_enriched_src', CAST(count(*) AS DOUBLE) FROM e WHERE src < 'c3' UNION ALL SELECT 'quality', 'orphan_enriched_dst', CAST(count(*) AS DOUBLE) FROM e WHERE dst < 'c3'
  UNION ALL SELECT 'concept', 'orphan_concept_edges', CAST(count(*) AS DOUBLE) FROM (SELECT DISTINCT node_name, concept_id FROM ({_MAPPINGS}) WHERE concept_name < 'Brand#3')""")
 def table_report(spark: SparkSession, sf: str) -> DataFrame:
-    t = spooled(fx.triples(spark, sf))
+    t = spooled(fx.triples(spark, sf).select("src", "dst", "relation", "source_doc_id", "source_chunk_id"))
     text = F.concat("source_doc_id", F.lit("/"), F.col("source_chunk_id").cast("string")).alias("text_id")
     text_edges = t.select(F.explode(F.array("src", "dst")).alias("node_name"), text).distinct()
     enriched = t.select("src", "dst", "relation").distinct().selectExpr("src", "dst", "relation", "if(src >= 'c5', 'MAPPED', 'EMPTY') AS src_concept_status", "if(dst >= 'p5', 'MAPPED', 'MISSING') AS dst_concept_status", "'VALID' AS relation_concept_status")
     mappings = kg.concept_mappings(_parsed(spark, sf))
-    concept_nodes, concept_edges = kg.concept_graph(mappings, _coverage(spark, sf))
-    return graph.table_report(text_edges.select("text_id").distinct().where("text_id not like '%/7'"), text_edges, _coverage(spark, sf), enriched, graph.vertices(t).selectExpr("id AS node_name").where("node_name >= 'c3'"), concept_nodes.where("name >= 'Brand#3'"), concept_edges)
+    coverage = spooled(_coverage(spark, sf))
+    concept_nodes, concept_edges = kg.concept_graph(mappings, coverage)
+    return graph.table_report(t.select(text).where("text_id not like '%/7'").distinct(), text_edges, coverage, enriched, graph.vertices(t).selectExpr("id AS node_name").where("node_name >= 'c3'"), concept_nodes.where("name >= 'Brand#3'"), concept_edges)
 
 
 # --- iterative algorithms; the SQL unrolls the same number of rounds
