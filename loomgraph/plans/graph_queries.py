@@ -559,7 +559,7 @@ def landmark_distances(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{_bfs_sql(True, _TOP5)} SELECT CAST(max(dist) AS INTEGER) AS diameter_lower_bound FROM b6")
 def diameter_bound(spark: SparkSession, sf: str) -> DataFrame:
     """From five of the ten nodes of the highest rank, those in the largest component. The SQL takes the graph as one component, as it is."""
-    edges = cut(fx.transitions(spark, sf))
+    edges = spooled(fx.transitions(spark, sf).select("src", "dst"))
     return graph.diameter_bound(edges, cut(graph.giant_seeds(edges, graph.top_pagerank(edges, 10))))
 
 
